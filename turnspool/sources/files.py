@@ -59,7 +59,7 @@ def read_prompt_files(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     Read as whole texts: a JSON scan would make a row of every message and lose their order.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    texts = spark.read.option("wholetext", True).text(paths)
+    texts = spark.read.text(paths, wholetext=True)
     return texts.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.from_json("value", MESSAGES, {"mode": "FAILFAST"}).alias("messages"),
