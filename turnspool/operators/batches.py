@@ -5,7 +5,7 @@ The plan works on lean rows (ids and counts). Token arrays join it once, at the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnspool.functions.labels import IGNORE
@@ -101,8 +101,8 @@ def remaining_rows(rows: DataFrame, checkpoint: str | None) -> DataFrame:
 
 def padded_width(rows: DataFrame) -> DataFrame:
     """Add ``width``: the longest row of the batch. The groups are as small as a batch."""
-    widths = rows.groupBy("epoch", "batch_id").agg(F.max("n_tokens").alias("width"))
-    return rows.join(widths, ["epoch", "batch_id"])
+    batch = Window.partitionBy("epoch", "batch_id")
+    return rows.withColumn("width", F.max("n_tokens").over(batch))
 
 
 def pad(values: Column, filler: Column, width: Column, side: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,6 @@ def fit_vocabulary(texts: DataFrame, text: Column, max_pieces: int) -> DataFrame
     """``(piece, id, n, is_special)``: the specials, then the ``max_pieces`` most frequent pieces."""
     if not 1 <= max_pieces <= MAX_ENTRIES - len(SPECIALS):
         raise ValueError(f"max_pieces must be 1 to {MAX_ENTRIES - len(SPECIALS)}, got {max_pieces}")
-    spark = texts.sparkSession
     rank = (F.desc("n"), F.asc("piece"))
     learned = (
         count_pieces(texts, text)
@@ -43,10 +43,16 @@ def fit_vocabulary(texts: DataFrame, text: Column, max_pieces: int) -> DataFrame
         .withColumn("id", F.row_number().over(Window.orderBy(*rank)) + len(SPECIALS) - 1)
         .select("piece", "id", "n", F.lit(False).alias("is_special"))
     )
-    specials = spark.createDataFrame(
-        [(piece, i, 0, True) for i, piece in enumerate(SPECIALS)],
-        "piece string, id int, n bigint, is_special boolean",
-    )
+    entries = [
+        F.struct(
+            F.lit(piece).alias("piece"),
+            F.lit(i).alias("id"),
+            F.lit(0).cast("bigint").alias("n"),
+            F.lit(True).alias("is_special"),
+        )
+        for i, piece in enumerate(SPECIALS)
+    ]
+    specials = texts.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
     return specials.unionByName(learned)
 
 
@@ -74,27 +80,28 @@ class Codec:
     """A vocabulary of checked size, ready to be used by tasks."""
 
     def __init__(self, vocab: DataFrame, eos: str | None = TURN_END):
-        rows = (
-            vocab.select("id", "piece", "is_special").orderBy("id").limit(MAX_ENTRIES + 1).collect()
-        )
-        if len(rows) > MAX_ENTRIES:
+        # Bounded by the check before it is used: at most one entry over the limit is fetched.
+        table = vocab.select("id", "piece", "is_special").orderBy("id").limit(MAX_ENTRIES + 1)
+        table = table.toArrow()
+        pieces = table["piece"].combine_chunks()
+        self.size = len(pieces)
+        if self.size > MAX_ENTRIES:
             raise ValueError(f"vocabulary has more than {MAX_ENTRIES} entries")
-        if [r["id"] for r in rows] != list(range(len(rows))):
+        if not table["id"].combine_chunks().equals(pa.array(range(self.size), pa.int32())):
             raise ValueError("vocabulary ids must run from 0 without gaps")
-        if len({r["piece"] for r in rows}) != len(rows):
+        if pc.count_distinct(pieces).as_py() != self.size:
             raise ValueError("vocabulary holds a piece twice")
-        if any(len(r["piece"]) > MAX_PIECE_CHARS for r in rows):
+        if (pc.max(pc.utf8_length(pieces)).as_py() or 0) > MAX_PIECE_CHARS:
             raise ValueError(f"vocabulary holds a piece of over {MAX_PIECE_CHARS} characters")
-        self.size = len(rows)
-        self.special_ids = {r["piece"]: r["id"] for r in rows if r["is_special"]}
+        special = table.filter(pc.field("is_special"))
+        self.special_ids = dict(zip(special["piece"].to_pylist(), special["id"].to_pylist()))
         if UNK not in self.special_ids:
             raise ValueError(f"vocabulary lacks {UNK}")
         if eos is not None and eos not in self.special_ids:
             raise ValueError(f"{eos} is not a special piece of the vocabulary")
         self.unk_id = self.special_ids[UNK]
         self.eos_id = None if eos is None else self.special_ids[eos]
-        context = vocab.sparkSession.sparkContext
-        self.pieces = context.broadcast(pa.array([r["piece"] for r in rows], pa.string()))
+        self.pieces = vocab.sparkSession.sparkContext.broadcast(pieces)
 
     def resolve(self, pad_token: str | None = "eos", padding_side: str = "right") -> SpecialIds:
         """``"eos"`` pads with the end piece, another name with that piece, none leaves pad unset."""

@@ -28,7 +28,7 @@ from turnspool.sources.conversations import (
     conversation_sizes,
     last_parts,
 )
-from turnspool.staging import fresh_path, stage
+from turnspool.staging import fresh_path, spread, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,8 +66,13 @@ def records_of(spark: SparkSession, sf_dir: str, max_length: int = MAX_LENGTH) -
     return chat_records(turns_of(spark, sf_dir), max_length)
 
 
+def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def vocabulary_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prep.fit_on_train_turns(turns_of(spark, sf_dir), VOCABULARY)
+    turns = spread(turns_of(spark, sf_dir), "conv_id", "turn")
+    return prep.fit_on_train_turns(turns, VOCABULARY)
 
 
 def codec_of(spark: SparkSession, sf_dir: str) -> Codec:
@@ -307,12 +312,12 @@ def vocab_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with the vocabulary of the chats: most of their words are unknown to it."""
     ids = encode(F.col("text"), codec_of(spark, sf_dir))
-    return table(spark, sf_dir, "documents").select("doc_id", spelled(ids).alias("input_ids"))
+    return documents_of(spark, sf_dir).select("doc_id", spelled(ids).alias("input_ids"))
 
 
 @query
 def truncate_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = table(spark, sf_dir, "documents").select(
+    pieces = documents_of(spark, sf_dir).select(
         "doc_id", split_pieces(F.col("text")).alias("pieces")
     )
     return pieces.select(

@@ -61,15 +61,19 @@ def drop_turns_beyond(turns: DataFrame, keep_turns: int) -> DataFrame:
     """Leave at least the first ``keep_turns`` turns of a conversation and no unbounded rest.
 
     Only for consumers that read no further, such as a cut to ``max_length`` pieces: a rendered
-    turn is at least one piece long. What remains per conversation is under
-    ``keep_turns`` turns plus one block. The join is on (conversation, block), which spreads a long
-    conversation over all tasks; when the check finds nothing to drop there is no join at all.
+    turn is at least one piece long. What remains per conversation is under ``keep_turns`` turns
+    plus one block.
+
+    As turns are unique, a conversation can only be too long if turn numbers span more than
+    ``keep_turns``; in the common case that one look at a column's range settles it. Otherwise the
+    blocks to drop are counted. The join is on (conversation, block), which spreads a long
+    conversation over all tasks, whether the list is short enough to broadcast or not.
     """
-    beyond = blocks_beyond(turns, keep_turns)
-    found = beyond.limit(BROADCAST_ROWS + 1).count()
-    if found == 0:
+    low, high = turns.agg(F.min("turn"), F.max("turn")).first()
+    if low is None or high - low < keep_turns:
         return turns
-    if found <= BROADCAST_ROWS:
+    beyond = blocks_beyond(turns, keep_turns)
+    if beyond.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         beyond = F.broadcast(beyond)
     marked = turns.withColumn("block", turn_block(F.col("turn")))
     return marked.join(beyond, ["row_id", "block"], "left_anti").drop("block")

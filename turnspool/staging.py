@@ -1,4 +1,4 @@
-"""Intermediate tables that several stages read.
+"""How rows lie between stages: tables that several stages read, and small inputs.
 
 A staged table is Parquet in the shared folder named by ``spark.checkpoint.dir``, so it
 outlives executors, cuts lineage, and (unlike a checkpointed RDD) can be read column by column.
@@ -35,3 +35,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Put the rows of a small input on all cores; ``keys`` tell rows apart.
+
+    A scan hands out whole row groups, so a file with one row group is one task's work while the
+    other cores idle. An input with as many scan tasks as cores, as any large one, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
