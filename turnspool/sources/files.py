@@ -81,26 +81,15 @@ def count_lines(spark: SparkSession, root: str, expected: Sequence[str]) -> Data
     An empty file yields no row to count and a missing one none to list; both report 0 lines.
     """
     inside = re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", root).rstrip("/") + "/"
-    below = F.substring_index("_metadata.file_path", inside, -1)
-    name = F.split(below, "/")[0].alias("name")
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(root)
-        .groupBy(name)
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    )
-    # Lists the files; as their content is not selected, none is opened.
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    present = listing.select(name).distinct().withColumn("found", F.lit(True))
-    wanted = spark.range(1, numPartitions=1).select(
-        F.explode(F.array(*[F.lit(n) for n in expected])).alias("name")
-    )
-    return (
-        wanted.join(present, "name", "left")
-        .join(lines, "name", "left")
-        .select(
-            "name",
-            F.coalesce("found", F.lit(False)).alias("found"),
-            F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        )
+    lines = spark.read.option("recursiveFileLookup", True).text(root)
+    # The scan's own listing, which unlike its rows also knows empty files.
+    present = {path.split(inside, 1)[-1].split("/")[0] for path in lines.inputFiles()}
+    name = F.split(F.substring_index("_metadata.file_path", inside, -1), "/")[0].alias("name")
+    counts = lines.groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"))
+    entries = [
+        F.struct(F.lit(n).alias("name"), F.lit(n in present).alias("found")) for n in expected
+    ]
+    wanted = spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+    return wanted.join(counts, "name", "left").select(
+        "name", "found", F.coalesce("n_lines", F.lit(0)).alias("n_lines")
     )
