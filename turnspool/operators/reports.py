@@ -55,7 +55,14 @@ def steps_per_epoch(
 
 
 def first_row(rows: DataFrame, split: str = TRAIN) -> DataFrame:
-    return rows.filter(F.col("split") == split).orderBy("row_id").limit(1)
+    """The row with the least ``row_id`` of a split.
+
+    The id is found on the two key columns first, and filters the rows where they are read: no
+    other record is gathered to show one.
+    """
+    of_split = rows.filter(F.col("split") == split)
+    least = of_split.agg(F.min("row_id"))
+    return of_split.filter(F.col("row_id") == least.scalar())
 
 
 def id_prefix(prepared: DataFrame, length: int = 8) -> DataFrame:

@@ -30,13 +30,28 @@ def count_pieces(texts: DataFrame, text: Column) -> DataFrame:
     )
 
 
+def least_count(counts: DataFrame, max_pieces: int) -> DataFrame:
+    """The largest ``n`` that at least ``max_pieces`` pieces reach, else 0, as one row.
+
+    Runs on a histogram: one short row per distinct count.
+    """
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_pieces"))
+    from_top = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = histogram.withColumn("_reached", F.sum("_pieces").over(from_top))
+    enough = F.max(F.when(F.col("_reached") >= max_pieces, F.col("n")))
+    return reached.agg(F.coalesce(enough, F.lit(0)).alias("n"))
+
+
 def fit_vocabulary(texts: DataFrame, text: Column, max_pieces: int) -> DataFrame:
     """``(piece, id, n, is_special)``: the specials, then the ``max_pieces`` most frequent pieces."""
     if not 1 <= max_pieces <= MAX_ENTRIES - len(SPECIALS):
         raise ValueError(f"max_pieces must be 1 to {MAX_ENTRIES - len(SPECIALS)}, got {max_pieces}")
     rank = (F.desc("n"), F.asc("piece"))
+    counts = count_pieces(texts, text)
+    # The top-k merges what every task sends in one task. Below the count of the last piece that
+    # can make it nothing is sent, so that is max_pieces rows and ties, not as many per task.
     learned = (
-        count_pieces(texts, text)
+        counts.filter(F.col("n") >= least_count(counts, max_pieces).scalar())
         .orderBy(*rank)
         .limit(max_pieces)
         # One task, over at most max_pieces rows.
