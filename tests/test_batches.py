@@ -52,7 +52,7 @@ def plan_of(spark, n, epochs=2, batch=3, accumulation=2, world=2):
         epochs,
     )
     ordered = batches.assign_batches(batches.seeded_order(rows, 1), batch)
-    return batches.assign_steps(ordered, F.lit(n), batch, accumulation, world)
+    return batches.assign_steps(ordered, n, batch, accumulation, world)
 
 
 def test_every_row_is_in_one_batch_per_epoch(spark):

@@ -40,22 +40,20 @@ def stored_order(rows: DataFrame) -> DataFrame:
 
 
 def assign_batches(rows: DataFrame, batch_size: int) -> DataFrame:
-    return rows.withColumn("batch_id", F.floor(F.col("idx") / batch_size).cast("bigint"))
+    return rows.withColumn("batch_id", F.expr(f"idx div {int(batch_size)}"))
 
 
 def assign_steps(
-    rows: DataFrame, rows_in_epoch: Column, batch_size: int, accumulation: int, world_size: int
+    rows: DataFrame, rows_in_epoch: int, batch_size: int, accumulation: int, world_size: int
 ) -> DataFrame:
     """Add ``step``: the optimizer step, counted over all epochs from 0.
 
     The last step of an epoch may be short; every epoch has as many steps as the first.
     """
     per_step = batch_size * accumulation * world_size
-    steps_in_epoch = F.ceil(rows_in_epoch / F.lit(per_step))
-    return rows.withColumn(
-        "step",
-        (F.col("epoch") * steps_in_epoch + F.floor(F.col("idx") / per_step)).cast("bigint"),
-    )
+    steps_in_epoch = -(-rows_in_epoch // per_step)
+    earlier = F.col("epoch").cast("bigint") * steps_in_epoch
+    return rows.withColumn("step", earlier + F.expr(f"idx div {per_step}"))
 
 
 def step_manifest(

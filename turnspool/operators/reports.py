@@ -47,11 +47,9 @@ def steps_per_epoch(
     rows: DataFrame, batch_size: int, accumulation: int, world_size: int
 ) -> DataFrame:
     """The estimate a run prints first: whole steps that the train rows fill."""
-    n_train = F.count_if(F.col("split") == TRAIN)
-    return rows.agg(
-        n_train.alias("n_train"),
-        F.floor(n_train / (batch_size * accumulation * world_size)).cast("bigint").alias("n_steps"),
-    )
+    per_step = batch_size * accumulation * world_size
+    n_train = F.count_if(F.col("split") == TRAIN).alias("n_train")
+    return rows.agg(n_train).withColumn("n_steps", F.expr(f"n_train div {per_step}"))
 
 
 def first_row(rows: DataFrame, split: str = TRAIN) -> DataFrame:

@@ -435,7 +435,7 @@ def batch_plan(rows: DataFrame) -> DataFrame:
     n_train = train.count()
     ordered = batches.seeded_order(batches.expand_epochs(train, EPOCHS), SEED)
     return batches.assign_steps(
-        batches.assign_batches(ordered, BATCH), F.lit(n_train), BATCH, ACCUMULATION, WORLD
+        batches.assign_batches(ordered, BATCH), n_train, BATCH, ACCUMULATION, WORLD
     )
 
 
