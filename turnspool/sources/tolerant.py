@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from turnspool.sources.files import CHAT_SCHEMA, PLACE
-from turnspool.staging import fresh_path
+from turnspool.staging import fresh_path, stage
 
 NOT_JSON, NOT_OBJECT = "not JSON", "not an object"
 
@@ -39,11 +39,15 @@ SCAN_SCHEMA = (
 )
 RECORD, REJECT, FRAGMENT, BLOCK = "record", "reject", "fragment", "block"
 
+# No JSON text starts or stops with one of these; most lines inside a pretty object do.
+NO_START, NO_STOP = tuple("}],:"), tuple("{[,:")
 STRING = re.compile(r'"(?:[^"\\]|\\.)*"')
 
 
 def judge(text: str) -> str | None:
     """None for a JSON object, otherwise what it is instead."""
+    if text.startswith(NO_START) or text.endswith(NO_STOP):
+        return NOT_JSON
     try:
         return None if isinstance(json.loads(text), dict) else NOT_OBJECT
     except (ValueError, RecursionError):
@@ -190,7 +194,9 @@ class TolerantScan:
 def read_tolerant(
     spark: SparkSession, path: str | Sequence[str], max_object_bytes: int = MAX_OBJECT_BYTES
 ) -> TolerantScan:
-    """Scan text files. The scan result is staged, by kind of row, and read from there."""
+    """Scan text files. What the scan settles is staged by kind of row, what is joined after it too,
+    so that the files are read and the objects put together once.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     lines = spark.read.text(paths).select(
         "value", "_metadata.file_path", "_metadata.file_block_start"
@@ -206,8 +212,12 @@ def read_tolerant(
     blocks = scan.filter(F.col("kind") == BLOCK).select(
         "file", "block", "tail", "depth", "dead"
     )
-    more_kept, more_left_out = join_fragments(fragments, blocks, max_object_bytes)
-    return TolerantScan(kept.unionByName(more_kept), left_out.unionByName(more_left_out))
+    joined = stage(join_fragments(fragments, blocks, max_object_bytes), "tolerant-joined")
+    complete = F.col("reason").isNull()
+    return TolerantScan(
+        kept.unionByName(joined.filter(complete).drop("reason")),
+        left_out.unionByName(joined.filter(~complete)),
+    )
 
 
 ZONE = ("file", "block", "tail")
@@ -286,8 +296,8 @@ def objects_over_zones(marked: DataFrame, max_object_bytes: int) -> DataFrame:
 
 def join_fragments(
     fragments: DataFrame, blocks: DataFrame, max_object_bytes: int
-) -> tuple[DataFrame, DataFrame]:
-    """Put together the objects that go over block borders; everything else is left out."""
+) -> DataFrame:
+    """Put together the objects that go over block borders; what is none gets a ``reason``."""
     zones = runs_of_zones(blocks)
     in_zone = Window.partitionBy(*ZONE)
     closing = F.col("entry") + F.col("depth") <= 0
@@ -311,7 +321,12 @@ def join_fragments(
         .otherwise(F.lit(True))
     )
     owned = marked.join(spans, list(ZONE)).select(
-        *PLACE, "tail", "run", "dead", "text", owner.alias("owner"), (fits & ~F.col("dead")).alias("fits")
+        *PLACE,
+        "tail",
+        "run",
+        "text",
+        owner.alias("owner"),
+        (fits & ~F.col("dead")).alias("fits"),
     )
     whole = (
         owned.filter("fits")
@@ -341,10 +356,6 @@ def join_fragments(
         "reason",
         F.when(place >= F.col("failure"), F.lit(NOT_JSON)).otherwise(F.col("reason")),
     )
-    kept = judged.filter(F.col("reason").isNull()).select(*PLACE, "text")
-    left_out = (
-        judged.filter(F.col("reason").isNotNull())
-        .select(*PLACE, "text", "reason")
-        .unionByName(unfit.select(*PLACE, "text", F.lit(NOT_JSON).alias("reason")))
+    return judged.select(*PLACE, "text", "reason").unionByName(
+        unfit.select(*PLACE, "text", F.lit(NOT_JSON).alias("reason"))
     )
-    return kept, left_out
