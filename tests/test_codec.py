@@ -47,7 +47,9 @@ def codec(vocab):
     return Codec(vocab)
 
 
-def test_vocabulary_order(spark):
+@pytest.mark.parametrize("merged_rows", [4_000_000, 1])
+def test_vocabulary_order(spark, monkeypatch, merged_rows):
+    monkeypatch.setattr("turnspool.operators.vocabulary.MERGED_ROWS", merged_rows)
     df = texts_of(spark, ["b b a a c", "a<|im_end|> é"])
     rows = fit_vocabulary(df, F.col("text"), 4).orderBy("id").collect()
     assert [r["piece"] for r in rows] == [
@@ -58,6 +60,14 @@ def test_vocabulary_order(spark):
     assert [r["is_special"] for r in rows] == [True] * 4 + [False] * 4
 
 
+@pytest.mark.parametrize("size", [1, 3, 40, 4000])
+def test_pruned_vocabulary_is_the_same(spark, turns, monkeypatch, size):
+    whole = prep.fit_on_train_turns(turns, size)
+    monkeypatch.setattr("turnspool.operators.vocabulary.MERGED_ROWS", 1)
+    pruned = prep.fit_on_train_turns(turns, size)
+    assert pruned.exceptAll(whole).count() == 0 and whole.exceptAll(pruned).count() == 0
+
+
 @pytest.mark.parametrize("size", [0, -1, MAX_ENTRIES])
 def test_vocabulary_size_is_bounded(spark, size):
     with pytest.raises(ValueError):

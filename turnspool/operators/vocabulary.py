@@ -14,6 +14,8 @@ from turnspool.functions.pieces import MAX_PIECE_CHARS, SPECIALS, TURN_END, UNK,
 # The table is broadcast, so its size is bounded: at most this many entries of at most
 # MAX_PIECE_CHARS characters (4 bytes each), 64 MiB in the worst case.
 MAX_ENTRIES = 262_144
+# A top-k merges up to this many rows in its last task without further ado.
+MERGED_ROWS = 4_000_000
 
 
 def count_pieces(texts: DataFrame, text: Column) -> DataFrame:
@@ -48,11 +50,13 @@ def fit_vocabulary(texts: DataFrame, text: Column, max_pieces: int) -> DataFrame
         raise ValueError(f"max_pieces must be 1 to {MAX_ENTRIES - len(SPECIALS)}, got {max_pieces}")
     rank = (F.desc("n"), F.asc("piece"))
     counts = count_pieces(texts, text)
-    # The top-k merges what every task sends in one task. Below the count of the last piece that
-    # can make it nothing is sent, so that is max_pieces rows and ties, not as many per task.
+    # The top-k merges what every task sends in one task, up to max_pieces rows of each. Where that
+    # is many, a count below that of the last piece that can make it is not sent at all.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if max_pieces * tasks > MERGED_ROWS:
+        counts = counts.filter(F.col("n") >= least_count(counts, max_pieces).scalar())
     learned = (
-        counts.filter(F.col("n") >= least_count(counts, max_pieces).scalar())
-        .orderBy(*rank)
+        counts.orderBy(*rank)
         .limit(max_pieces)
         # One task, over at most max_pieces rows.
         .withColumn("id", F.row_number().over(Window.orderBy(*rank)) + len(SPECIALS) - 1)

@@ -194,8 +194,8 @@ class TolerantScan:
 def read_tolerant(
     spark: SparkSession, path: str | Sequence[str], max_object_bytes: int = MAX_OBJECT_BYTES
 ) -> TolerantScan:
-    """Scan text files. What the scan settles is staged by kind of row, what is joined after it too,
-    so that the files are read and the objects put together once.
+    """Scan text files. The rows of the scan are staged by their kind, and objects that are put
+    together after it are too, so that either is done once, however often the result is read.
     """
     paths = [path] if isinstance(path, str) else list(path)
     lines = spark.read.text(paths).select(
@@ -212,7 +212,7 @@ def read_tolerant(
     blocks = scan.filter(F.col("kind") == BLOCK).select(
         "file", "block", "tail", "depth", "dead"
     )
-    joined = stage(join_fragments(fragments, blocks, max_object_bytes), "tolerant-joined")
+    joined = join_fragments(fragments, blocks, max_object_bytes)
     complete = F.col("reason").isNull()
     return TolerantScan(
         kept.unionByName(joined.filter(complete).drop("reason")),
@@ -328,6 +328,7 @@ def join_fragments(
         owner.alias("owner"),
         (fits & ~F.col("dead")).alias("fits"),
     )
+    owned = stage(owned, "tolerant-lines")
     whole = (
         owned.filter("fits")
         .groupBy("file", "run", "owner")
@@ -340,6 +341,7 @@ def join_fragments(
         )
         .withColumn("reason", verdict_of("text"))
     )
+    whole = stage(whole, "tolerant-objects")
     unfit = owned.filter(~F.col("fits"))
     # The first failure of a run spoils what follows it there. It is looked up by zone, so that
     # the objects of a long run are not brought together.
