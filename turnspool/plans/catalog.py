@@ -265,9 +265,9 @@ def prompt_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prompt_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third prompt also has a file, with another user text."""
+    """Prompts of several lines also have a file, with another user text."""
     from_file = F.concat(F.lit("From a file: "), F.col("text"))
-    filed = table(spark, sf_dir, "benchmark").filter(F.col("item_id") % 3 == 0)
+    filed = table(spark, sf_dir, "benchmark").filter(F.contains("text", F.lit("\n")))
     root = write_prompt_files(
         filed.select(
             F.col("item_id").alias("prompt_id"),

@@ -218,7 +218,7 @@ ORDER BY row_id LIMIT 1""",
     "prompt_build": f"""SELECT item_id AS prompt_id, 'system' AS first_role,
        '{SYSTEM}' AS system_text, 'user' AS second_role, text AS user_text FROM benchmark""",
     "prompt_choice": """SELECT item_id AS prompt_id,
-       CASE WHEN item_id % 3 = 0 THEN 'From a file: ' || text ELSE text END AS user_text
+       CASE WHEN contains(text, chr(10)) THEN 'From a file: ' || text ELSE text END AS user_text
 FROM benchmark""",
     "render_full": with_(TURNS, PART_TEXTS) + "SELECT row_id, part, text FROM part_texts",
     "render_prompt": with_(TURNS)
