@@ -1,11 +1,14 @@
 """Strict scans, prompt files and line counts."""
 
 import json
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from turnspool.sources import files
+from turnspool.sources import files, tolerant
 from turnspool.staging import shared_dir, stage
 
 
@@ -74,3 +77,22 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = stage(spark.range(3), "numbers")
     assert staged.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark))
+
+
+def test_task_code_runs_where_the_package_is_not_installed():
+    """As on an executor: another process, another folder, no copy of this repository."""
+    code = (
+        "import pickle, sys, pyarrow as pa\n"
+        "scan = pickle.loads(sys.stdin.buffer.read())\n"
+        "batch = pa.record_batch([['{\"a\":1}', 'x'], ['f', 'f'], [0, 0]], names=['t', 'f', 'b'])\n"
+        "print(sum(out.num_rows for out in scan(iter([batch]))))\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        input=cloudpickle.dumps(tolerant.scan_blocks),
+        capture_output=True,
+        cwd="/",
+        env={},
+    )
+    # One record, one open line that ends no object, and the two ends of the block.
+    assert done.stdout.split() == [b"4"], done.stderr

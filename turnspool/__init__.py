@@ -1 +1,8 @@
 """Chat fine-tuning data preparation as Spark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions for tasks travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
