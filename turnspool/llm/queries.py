@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnspool.llm import sharding
+from turnspool.llm import quality, secrets, sharding
+from turnspool.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 40
 
@@ -27,8 +30,28 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = quality.line_first_cleaning(documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.drop("text", "clean_text")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["number"] < secrets.BASE)
+
+    def count(number: int):
+        return F.size(F.filter("spans", lambda s: s["number"] == number)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.RULES[: secrets.BASE])],
+        F.sha2(secrets.written(base, secrets.RULES), 256).alias("base_sha256"),
+        secrets.written(F.col("spans"), secrets.RULES).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op5_line_first_cleaning": op5_line_first_cleaning,
+    "op6_secret_scan": op6_secret_scan,
 }
-
-ORACLES: dict[str, str] = {}
