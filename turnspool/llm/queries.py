@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnspool.llm import quality, secrets, sharding
+from turnspool.llm import language, quality, secrets, sharding, toxicity
 from turnspool.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,6 +17,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bucket_of(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text modulo n; a null id counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     lean = documents(spark, sf_dir).select(
@@ -30,6 +35,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", bucket_of(F.col("doc_id"), 4) == 2)
+    model = language.fit_trigrams(docs.filter(~F.col("held_out")))
+    named = language.identify_languages(docs.select("doc_id", "held_out", "text"), *model)
+    return named.drop("text")
+
+
 def op5_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = quality.line_first_cleaning(documents(spark, sf_dir).select("doc_id", "text"))
     return cleaned.drop("text", "clean_text")
@@ -50,8 +62,20 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    taught = bucket_of(F.col("doc_id"), 5) != 0
+    model = toxicity.fit_toxicity(docs.filter(taught), labels.filter(taught))
+    return toxicity.score_toxicity(
+        docs.select("doc_id", (~taught).alias("held_out"), "text"), model
+    ).drop("text")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_language_mixture": op4_language_mixture,
     "op5_line_first_cleaning": op5_line_first_cleaning,
     "op6_secret_scan": op6_secret_scan,
+    "op10_toxicity_nnpu": op10_toxicity_nnpu,
 }

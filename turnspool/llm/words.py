@@ -97,6 +97,19 @@ class WordReader:
         return mix(code ^ mix((end - start).astype(np.uint64)))
 
 
+    def prefixes(
+        self, data: np.ndarray, words: Words, lengths: tuple[int, ...]
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(word, code)`` of the first n bytes of every longer word, for each n in lengths."""
+        code, size = np.zeros(len(words.start), np.uint64), words.end - words.start
+        for k in range(max(lengths)):
+            at = np.minimum(words.start + k, len(data) - 1)
+            code = (code + self.table[data[at]]) * np.uint64(self.BASE)
+            if k + 1 in lengths:
+                longer = np.flatnonzero(size > k + 1)
+                yield longer, mix(code[longer] ^ np.uint64(k + 1))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and its row bounds; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
