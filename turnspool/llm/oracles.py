@@ -103,7 +103,43 @@ FROM documents d LEFT JOIN g USING (doc_id)
 """
 
 
+DECONTAMINATION_SQL = r"""
+WITH b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+d AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+sizes AS (SELECT DISTINCT least(10, len(w)) AS m FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT item_id, least(10, len(w)) AS m,
+         unnest(list_transform(range(1, greatest(1, len(w) - 9) + 1),
+           lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS win
+  FROM b WHERE len(w) > 0),
+dw AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS win
+  FROM (SELECT doc_id, m, w, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d, sizes WHERE len(w) >= m)),
+hit AS (SELECT DISTINCT doc_id, dw.m AS m, i, item_id FROM dw JOIN bw USING (m, win)),
+words AS (
+  SELECT doc_id, count(DISTINCT k) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS k FROM hit) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit,
+       coalesce(found.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op2_wu_manber": DECONTAMINATION_SQL,
     "op5_line_first_cleaning": quality_sql(),
     "op6_secret_scan": secrets_sql(),
 }

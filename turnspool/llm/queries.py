@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnspool.llm import language, quality, secrets, sharding, toxicity
+from turnspool.llm import decontamination, language, packing, quality, secrets, sharding, toxicity
 from turnspool.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 40
+SEQUENCE = 1024
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +42,20 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    n_hit = decontamination.n_hit()
+    return decontamination.find_benchmark(docs, benchmark).select(
+        "doc_id",
+        "hits.n_words",
+        n_hit.alias("n_hit"),
+        F.size("hits.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", bucket_of(F.col("doc_id"), 4) == 2)
     model = language.fit_trigrams(docs.filter(~F.col("held_out")))
@@ -62,6 +83,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack_documents(docs, vocabulary_path(), SEQUENCE)
+
+
 def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -74,8 +100,10 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_wu_manber": op2_wu_manber,
     "op4_language_mixture": op4_language_mixture,
     "op5_line_first_cleaning": op5_line_first_cleaning,
     "op6_secret_scan": op6_secret_scan,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
 }
