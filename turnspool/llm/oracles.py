@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnspool.llm import quality, secrets
+from turnspool.llm import line_dedup, quality, secrets
 
 
 def text_literal(value: str) -> str:
@@ -138,8 +138,67 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1),
+           lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION
+  SELECT links.v, reach.r FROM reach JOIN links ON links.u = reach.doc_id),
+root AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM root LEFT JOIN n USING (doc_id)
+"""
+
+LINES_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+  CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS l
+  FROM documents),
+x AS (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d WHERE len(l) > 1),
+w AS (SELECT doc_id, i, l[i] AS a, l[i + 1] AS b FROM x),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS k FROM w)
+  WHERE k > 1),
+runs AS (
+  SELECT doc_id, min(i) - 1 AS start, max(i) + 1 AS stop FROM (
+    SELECT *, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+      SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 2 THEN 0 ELSE 1 END
+        AS gap FROM later))
+  GROUP BY doc_id, run),
+long AS (
+  SELECT doc_id, list({{'a': start, 'b': stop}} ORDER BY start) AS r
+  FROM runs JOIN d USING (doc_id)
+  WHERE length(array_to_string(l[start + 1:stop], '')) >= {line_dedup.MIN_CHARS} GROUP BY doc_id)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines,
+  CAST(coalesce(list_sum(list_transform(r, lambda q: q.b - q.a)), 0) AS BIGINT) AS n_deleted_lines,
+  coalesce(array_to_string(list_transform(r, lambda q: q.a || ':' || q.b), ','), '') AS deleted,
+  sha256(CASE WHEN r IS NULL THEN text ELSE coalesce(array_to_string(
+    list_transform(list_filter(range(1, len(l) + 1), lambda k:
+      len(list_filter(r, lambda q: k > q.a AND k <= q.b)) = 0), lambda k: l[k]), chr(10)), '')
+    END) AS clean_sha256
+FROM d LEFT JOIN long USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_wu_manber": DECONTAMINATION_SQL,
+    "op3_b_bit_minhash": NEAR_SQL,
+    "op9_line_runs": LINES_SQL,
     "op5_line_first_cleaning": quality_sql(),
     "op6_secret_scan": secrets_sql(),
 }

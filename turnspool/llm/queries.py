@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnspool.llm import decontamination, language, packing, quality, secrets, sharding, toxicity
+from turnspool.llm import decontamination, language, line_dedup, minhash, packing, quality, secrets, sharding, toxicity
 from turnspool.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -56,6 +56,12 @@ def op2_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", bucket_of(F.col("doc_id"), 4) == 2)
     model = language.fit_trigrams(docs.filter(~F.col("held_out")))
@@ -88,6 +94,18 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary_path(), SEQUENCE)
 
 
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    runs = F.transform("deleted", lambda r: F.concat_ws(":", r["start"], r["end"]))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_deleted_lines",
+        F.array_join(runs, ",").alias("deleted"),
+        F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"),
+    )
+
+
 def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -101,9 +119,11 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_wu_manber": op2_wu_manber,
+    "op3_b_bit_minhash": op3_b_bit_minhash,
     "op4_language_mixture": op4_language_mixture,
     "op5_line_first_cleaning": op5_line_first_cleaning,
     "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_line_runs": op9_line_runs,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
 }
