@@ -195,10 +195,33 @@ FROM d LEFT JOIN long USING (doc_id)
 """
 
 
+SUBSTRINGS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+x AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+copied AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS m FROM x)
+  WHERE doc_id > m),
+gone AS (
+  SELECT doc_id, list(DISTINCT k) AS ks
+  FROM (SELECT doc_id, unnest(range(i, i + 13)) AS k FROM copied) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN ks IS NULL THEN w ELSE
+         list_transform(list_sort(list_filter(range(1, len(w) + 1),
+           lambda k: NOT list_contains(ks, k))), lambda k: w[k]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_wu_manber": DECONTAMINATION_SQL,
     "op3_b_bit_minhash": NEAR_SQL,
     "op9_line_runs": LINES_SQL,
+    "op8_seed_and_extend": SUBSTRINGS_SQL,
     "op5_line_first_cleaning": quality_sql(),
     "op6_secret_scan": secrets_sql(),
 }

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnspool.llm import decontamination, language, line_dedup, minhash, packing, quality, secrets, sharding, toxicity
+from turnspool.llm import (
+    decontamination,
+    language,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from turnspool.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -94,6 +105,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary_path(), SEQUENCE)
 
 
+def op8_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.dedup_substrings(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     runs = F.transform("deleted", lambda r: F.concat_ws(":", r["start"], r["end"]))
@@ -124,6 +142,7 @@ QUERIES = {
     "op5_line_first_cleaning": op5_line_first_cleaning,
     "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_seed_and_extend": op8_seed_and_extend,
     "op9_line_runs": op9_line_runs,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
 }
