@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnspool.llm.plans import computed_once
 from turnspool.staging import stage
 
 MIN_LINES = 2
@@ -163,7 +164,7 @@ def dedup_lines(
     gone = F.aggregate(
         "deleted", F.lit(0), lambda n, r: n + r["end"] - r["start"]
     )
-    return held.select(
+    result = held.select(
         "row.*",
         F.when(F.size("deleted") == 0, F.col("text"))
         .otherwise(F.array_join(left, "\n"))
@@ -172,3 +173,4 @@ def dedup_lines(
         gone.cast("bigint").alias("n_deleted_lines"),
         "deleted",
     )
+    return computed_once(result)

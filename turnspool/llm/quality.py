@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnspool.llm.plans import computed_once
+
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -137,9 +139,10 @@ def line_first_cleaning(df: DataFrame, text_col: str = "text") -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     text = F.col("_row")[text_col]
-    return judged.withColumn("base_failed", failed).select(
+    result = judged.withColumn("base_failed", failed).select(
         "_row.*",
         F.when(text.isNotNull(), F.col("_clean")).alias("clean_text"),
         *RESULTS[1:-1],
         (~failed & (100 * left >= MIN_LEFT_PERCENT * F.col("word_chars"))).alias("kept"),
     )
+    return computed_once(result)
