@@ -1,17 +1,89 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of documents, with
+``n_chars`` counted anew where the text has changed; the last returns a row for each packed piece.
+``run`` writes each stage's result as Parquet in the shared folder and reads it for the next, so a
+lost executor costs no earlier stage.
+
+Nulls, empty texts, repeated rows and extra columns are treated as each operator says. A column
+added to the documents stays up to the last stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from turnspool.llm import decontamination, line_dedup, minhash, packing, quality
+from turnspool.llm.queries import SEQUENCE, vocabulary_path
+from turnspool.staging import stage
+
+
+def _with_text(docs: DataFrame, text) -> DataFrame:
+    changed = docs.withColumn("text", text)
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose the lines that failed."""
+    columns = docs.columns
+    cleaned = quality.line_first_cleaning(docs).filter("kept")
+    return _with_text(cleaned, F.col("clean_text")).select(*columns)
+
+
+def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of lines go; a document that had nothing else goes with them."""
+    columns = docs.columns
+    cleaned = line_dedup.dedup_lines(docs)
+    left = cleaned.filter((F.col("n_deleted_lines") == 0) | quality.has_word(F.col("clean_text")))
+    return _with_text(left, F.col("clean_text")).select(*columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, one row of each document."""
+    columns = docs.columns
+    keepers = (
+        minhash.near_duplicates(docs)
+        .filter("keeper")
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    )
+    same = F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")
+    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("_id")) & same)
+    nth = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0)))
+    # A text without words is a group of its own, however often its row is repeated.
+    repeated = quality.has_word(F.coalesce("text", F.lit(""))) & (F.col("_nth") > 1)
+    return kept.withColumn("_nth", nth).filter(~repeated).select(*columns)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_benchmark(docs, benchmark)
+    return found.filter(decontamination.n_hit() == 0).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1,024 tokens with their places in sequences."""
+    lean = docs.select("doc_id", "text")
+    return packing.pack_documents(lean, vocabulary_path(), SEQUENCE)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_runs", line_runs),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_free", benchmark_free),
+    ("packed", packed),
+]
 
-# Near-duplicate components and packing have no SQL form; tests use brute force instead.
+# Components of near-duplicates and packing have no SQL form; tests use brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage_of in STAGES:
-        docs = stage_of(spark, docs, sf_dir)
+    for name, stage_of in STAGES:
+        docs = stage(stage_of(spark, docs, sf_dir), name)
     return docs
