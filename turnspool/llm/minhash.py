@@ -7,9 +7,10 @@ packed in four longs. The share of equal bit pairs, corrected for those that are
 estimates the similarity; pairs far below the threshold are dropped, all others are confirmed on
 full sets. At a similarity of 0.75 a pair shares a band with a chance of 1 - 5e-6.
 
-No bucket is expanded into all its pairs at once. Each is first compared with one member, then with
-another; components of confirmed links are found in between. Only buckets that still hold several
-components have their remaining pairs across components compared, in blocks.
+No bucket is expanded into all its pairs. Its members are compared with one of them, and components
+of confirmed links are found. Buckets that still hold several components go on with a finer sketch
+of 1,024 minima: first some rounds with other members as centers, then all pairs across components,
+in blocks, of which only those with a sufficient estimate leave the comparison.
 
 A null or empty text, and one without words, has no shingle, is linked with nothing and kept. Null
 ids are never a component's id while another is there. Repeated rows are one class. Extra columns
@@ -32,8 +33,11 @@ from turnspool.staging import stage
 SHINGLE = 5
 PERCENT = 75
 MINIMA, BAND_ROWS, BITS = 128, 4, 2
-# Estimates have a deviation of under 0.046 at the threshold; this is over six of them below it.
-LEAST_ESTIMATE = 0.45
+# For documents whose buckets one comparison has not settled.
+FINE_MINIMA = 1024
+# Pairs whose estimate is that many deviations below the threshold are no links.
+DEVIATIONS = 5.5
+HASHED_ROUNDS = 3
 BLOCK = 512
 
 SKETCH = (
@@ -65,15 +69,15 @@ def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return row[new], code[new]
 
 
-def _minima(code: np.ndarray, heads: np.ndarray) -> np.ndarray:
+def _minima(code: np.ndarray, heads: np.ndarray, count: int = MINIMA) -> np.ndarray:
     """Smallest value of each permutation for every set, as uint32."""
-    rng = np.random.default_rng(128)
-    factor = rng.integers(0, 2**32, MINIMA, dtype=np.uint32) | np.uint32(1)
-    shift = rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
+    rng = np.random.default_rng(count)
+    factor = rng.integers(0, 2**32, count, dtype=np.uint32) | np.uint32(1)
+    shift = rng.integers(0, 2**32, count, dtype=np.uint32)
     x = (code >> np.uint64(32)).astype(np.uint32)
     y = np.empty_like(x)
-    out = np.empty((MINIMA, len(heads)), np.uint32)
-    for k in range(MINIMA):
+    out = np.empty((count, len(heads)), np.uint32)
+    for k in range(count):
         np.multiply(x, factor[k], out=y)
         np.add(y, shift[k], out=y)
         out[k] = np.minimum.reduceat(y, heads)
@@ -81,12 +85,12 @@ def _minima(code: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 
 def _packed(minima: np.ndarray) -> np.ndarray:
-    """BITS low bits of each minimum; a set has MINIMA * BITS / 64 longs."""
-    low = mix(minima.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
+    """BITS low bits of each minimum, 64 bits to a long."""
     each = 64 // BITS
-    longs = np.zeros((MINIMA // each, minima.shape[1]), np.uint64)
-    for k in range(MINIMA):
-        longs[k // each] |= low[k] << np.uint64(k % each * BITS)
+    longs = np.zeros((len(minima) // each, minima.shape[1]), np.uint64)
+    for k, values in enumerate(minima):
+        low = mix(values.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
+        longs[k // each] |= low << np.uint64(k % each * BITS)
     return longs.T
 
 
@@ -133,6 +137,21 @@ def _sketches():
     return F.arrow_udf(run, SKETCH)
 
 
+def _fine_signatures():
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = WordReader(NOT_SPACE, lower=True)
+        for column in columns:
+            packed = np.zeros((len(column), FINE_MINIMA * BITS // 64), np.uint64)
+            for low, _, data, bounds in slices(column):
+                row, code = shingle_sets(reader.read(data, bounds))
+                heads = np.flatnonzero(np.diff(row, prepend=-1))
+                if len(heads):
+                    packed[low + row[heads]] = _packed(_minima(code, heads, FINE_MINIMA))
+            yield _lists(packed)
+
+    return F.arrow_udf(run, "array<bigint>")
+
+
 def _overlap():
     """Whether two texts have PERCENT of the union of their sets in common."""
 
@@ -159,7 +178,7 @@ def _overlap():
     return F.arrow_udf(run, "boolean")
 
 
-def estimate(a: Column, b: Column) -> Column:
+def estimate(a: Column, b: Column, minima: int) -> Column:
     """Similarity from packed signatures: share of equal bit pairs without those by chance."""
     odd = F.lit(0x5555555555555555)
     differing = F.aggregate(
@@ -174,11 +193,26 @@ def estimate(a: Column, b: Column) -> Column:
         lambda s, x: s + x,
     )
     chance = 1 / (1 << BITS)
-    return ((MINIMA - differing) / MINIMA - chance) / (1 - chance)
+    return ((minima - differing) / minima - chance) / (1 - chance)
+
+
+def least_estimate(minima: int) -> float:
+    """What the estimate of a link exceeds but for a chance of 2e-8."""
+    chance = 1 / (1 << BITS)
+    equal = chance + (1 - chance) * PERCENT / 100
+    deviation = (equal * (1 - equal) / minima) ** 0.5 / (1 - chance)
+    return PERCENT / 100 - DEVIATIONS * deviation
+
+
+def may_link(n1: str, n2: str, s1: str, s2: str, minima: int) -> Column:
+    """Whether sizes and signatures of two documents allow a link."""
+    small, large = F.least(n1, n2), F.greatest(n1, n2)
+    likely = estimate(F.col(s1), F.col(s2), minima) >= least_estimate(minima)
+    return (100 * small >= PERCENT * large) & likely
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``(u, v)`` whose sizes and estimate allow a link."""
+def plausible(pairs: DataFrame, nodes: DataFrame, minima: int) -> DataFrame:
+    """The pairs ``(u, v)`` that may be links; ``nodes (node, n, signature)``."""
     left = nodes.select(
         F.col("node").alias("u"), F.col("n").alias("n1"), F.col("signature").alias("s1")
     )
@@ -186,10 +220,7 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("node").alias("v"), F.col("n").alias("n2"), F.col("signature").alias("s2")
     )
     both = pairs.join(left, "u").join(right, "v")
-    return both.filter(
-        (100 * F.least("n1", "n2") >= PERCENT * F.greatest("n1", "n2"))
-        & (estimate(F.col("s1"), F.col("s2")) >= LEAST_ESTIMATE)
-    ).select("u", "v")
+    return both.filter(may_link("n1", "n2", "s1", "s2", minima)).select("u", "v")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -200,11 +231,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.filter(_overlap()(F.col("t1"), F.col("t2"))).select("u", "v")
 
 
-def star_pairs(members: DataFrame, last: bool) -> DataFrame:
-    """Every member of a bucket with its first (or last) member, unless they are connected."""
-    pick = F.max if last else F.min
+def star_pairs(members: DataFrame, seed: int | None) -> DataFrame:
+    """Every member of a bucket with one of them, unless they are connected.
+
+    Without a seed that one is the smallest, the same for the buckets of a group. With a seed each
+    bucket has its own, so a member meets about as many others as it has buckets.
+    """
+    order = F.col("node") if seed is None else F.xxhash64(F.lit(seed), "bucket", "node")
     centers = members.groupBy("bucket").agg(
-        pick(F.struct("node", "root")).alias("c"),
+        F.min(F.struct(order.alias("order"), "node", "root")).alias("c")
     )
     return (
         members.join(centers, "bucket")
@@ -214,27 +249,46 @@ def star_pairs(members: DataFrame, last: bool) -> DataFrame:
     )
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket across components, each block of members against each other block."""
+def cross_pairs(members: DataFrame, nodes: DataFrame, minima: int) -> DataFrame:
+    """The pairs of a bucket across components that may be links.
+
+    Each block of members meets each other block; only the pairs that pass leave the join.
+    """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    blocked = members.join(sizes, "bucket").withColumn(
-        "blocks", F.ceil(F.col("size") / BLOCK).cast("int")
-    ).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = blocked.select("bucket", "node", "root", "own", every)
-    right = blocked.select(
+    blocked = (
+        members.join(sizes, "bucket")
+        .join(nodes.select("node", "n", "signature"), "node")
+        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = blocked.select(
         "bucket",
-        F.col("node").alias("node2"),
-        F.col("root").alias("root2"),
-        F.col("own").alias("other"),
-        every.alias("own"),
+        F.col("node").alias("u"),
+        F.col("root").alias("r1"),
+        F.col("n").alias("n1"),
+        F.col("signature").alias("s1"),
+        "own",
+        every.alias("other"),
     )
-    return (
-        left.join(right, ["bucket", "own", "other"])
-        .filter((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")))
-        .select(F.col("node").alias("u"), F.col("node2").alias("v"))
-        .distinct()
+    right = blocked.select(
+        F.col("bucket").alias("bucket2"),
+        F.col("node").alias("v"),
+        F.col("root").alias("r2"),
+        F.col("n").alias("n2"),
+        F.col("signature").alias("s2"),
+        F.col("own").alias("other2"),
+        every.alias("own2"),
     )
+    met = (
+        (F.col("bucket") == F.col("bucket2"))
+        & (F.col("own") == F.col("own2"))
+        & (F.col("other") == F.col("other2"))
+        & (F.col("u") < F.col("v"))
+        & (F.col("r1") != F.col("r2"))
+        & may_link("n1", "n2", "s1", "s2", minima)
+    )
+    return left.join(right, met).select("u", "v").distinct()
 
 
 def undecided(members: DataFrame) -> DataFrame:
@@ -301,20 +355,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .dropDuplicates(["node"]),
         "texts",
     )
-    found = None
-    for pairs_of in (
-        lambda m: star_pairs(m, last=False),
-        lambda m: star_pairs(m, last=True),
-        cross_pairs,
-    ):
-        pairs = stage(plausible(pairs_of(members), lean), "pairs")
-        links = stage(confirmed(pairs, texts), "links")
-        found = links if found is None else found.unionByName(links)
-        roots = stage(components(found), "roots")
-        reset = members.withColumn("root", F.col("node"))
-        members = stage(undecided(with_roots(reset, roots)), "buckets")
+    def settled(pairs: DataFrame, links: DataFrame | None) -> tuple[DataFrame, ...]:
+        new = stage(confirmed(stage(pairs, "pairs"), texts), "links")
+        links = new if links is None else links.unionByName(new)
+        roots = stage(components(links), "roots")
+        own = members.withColumn("root", F.col("node"))
+        return links, roots, stage(undecided(with_roots(own, roots)), "buckets")
+
+    links, roots, members = settled(
+        plausible(star_pairs(members, None), lean, MINIMA), None
+    )
+    rounds = [*range(HASHED_ROUNDS), None]
+    fine = None
+    for seed in rounds:
         if members.isEmpty():
             break
+        if fine is None:
+            fine = stage(
+                texts.join(members.select("node").distinct(), "node")
+                .join(lean.select("node", "n"), "node")
+                .select("node", "n", _fine_signatures()(F.col("text")).alias("signature")),
+                "fine-signatures",
+            )
+        if seed is None:
+            pairs = cross_pairs(members, fine, FINE_MINIMA)
+        else:
+            pairs = plausible(star_pairs(members, seed), fine, FINE_MINIMA)
+        links, roots, members = settled(pairs, links)
     return _result(rows, classes, roots)
 
 
