@@ -70,8 +70,10 @@ def test_near_duplicates(table, docs):
     assert all(r["kept"] == r["keeper"] == (d == want[d]) for d, r in got.items())
 
 
-def test_near_duplicates_of_a_large_group_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("hashed_rounds", [0, 3])
+def test_near_duplicates_of_a_large_group_in_blocks(spark, monkeypatch, hashed_rounds):
     monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "HASHED_ROUNDS", hashed_rounds)
     rng = random.Random(3)
     core = prose(rng, 60)
     texts = []
