@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnspool.llm.words import NOT_SPACE, Words, WordReader, grams, mix, slices, windows_of
+from turnspool.staging import stage
 
 LEAST = 13
 GRAM = 5
@@ -120,11 +121,11 @@ def emit_runs(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(NOT_SPACE, lower=False)
         for batch in batches:
-            doc, at, key = (batch.column(k).to_numpy() for k in (0, 1, 2))
-            for low, high, data, bounds in slices(batch.column(3)):
+            doc, at, key = (batch.column(name).to_numpy() for name in ("doc", "at", "key"))
+            for low, high, data, bounds in slices(batch.column("text")):
                 words = reader.read(data, bounds)
                 start, row, anchor = anchored_runs(words, least)
-                lists = batch.column(4).slice(low, high - low)
+                lists = batch.column("anchors").slice(low, high - low)
                 owner = np.repeat(np.arange(high - low), lists.value_lengths().to_numpy())
                 shared = lists.flatten().to_numpy().view(np.uint64)
                 salt = mix(np.arange(high - low, dtype=np.uint64))
@@ -248,7 +249,7 @@ def removed_runs(runs: DataFrame) -> DataFrame:
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """``(doc, copies)``: keys of the texts that equal one with a smaller id."""
+    """``(doc, copies)``: the texts, by key, that equal one with a smaller id, and that id."""
     whole = [F.xxhash64("text"), F.xxhash64(F.lit(1), "text"), F.octet_length("text")]
     lean = docs.select("doc", "at", "key", *[c.alias(f"c{i}") for i, c in enumerate(whole)])
     names = ["c0", "c1", "c2"]
@@ -257,7 +258,7 @@ def copies(docs: DataFrame) -> DataFrame:
         lean.join(first, names)
         .filter(F.col("at") > F.col("least_at"))
         .groupBy("doc")
-        .agg(F.collect_set("key").alias("copies"))
+        .agg(F.collect_set(F.struct("key", "least_at")).alias("copies"))
     )
 
 
@@ -270,24 +271,30 @@ def dedup_substrings(
     number = F.col(f"`{id_col}`").cast("bigint")
     carried = [F.col(f"`{c}`") for c in df.columns if c not in (*results, text_col)]
     docs = df.select(
-        F.struct(F.lit(0).alias("_"), *carried).alias("row"),
+        F.struct(*carried).alias("row"),
         F.coalesce(number, F.xxhash64(text)).alias("doc"),
         F.coalesce(number, F.lit(LAST)).alias("at"),
         F.hash(text).alias("key"),
         text.alias("text"),
     )
     anchors = docs.select("doc", "at", "text").mapInArrow(emit_anchors(least), ANCHORS)
-    info = shared_anchors(anchors).join(copies(docs), "doc", "full")
-    # Both joins below read the texts by document, so this exchange is made once.
-    dealt = docs.repartition("doc").join(info, "doc", "left").withColumn(
-        "copy", F.coalesce(F.array_contains("copies", F.col("key")), F.lit(False))
+    info = stage(shared_anchors(anchors).join(copies(docs), "doc", "full"), "shared-anchors")
+    copied = F.exists(
+        "copies", lambda c: (c["key"] == F.col("key")) & (c["least_at"] < F.col("at"))
+    )
+    # The texts are brought to their documents' anchors, and later to the runs to remove. Both
+    # times all columns are read, so that both are one exchange.
+    dealt = (
+        docs.repartition("doc")
+        .join(info, "doc", "left")
+        .withColumn("copy", F.coalesce(copied, F.lit(False)))
     )
     runs = (
         dealt.filter(~F.col("copy") & F.col("anchors").isNotNull())
-        .select("doc", "at", "key", "text", "anchors")
+        .select("row", "doc", "at", "key", "text", "anchors")
         .mapInArrow(emit_runs(least), RUNS)
     )
     left = dealt.join(removed_runs(runs), "doc", "left").select(
         "row", keep_words(least)("text", "key", "copy", "runs").alias("left")
     )
-    return left.select("row.*", "left.*").drop("_")
+    return left.select("row.*", "left.*")
