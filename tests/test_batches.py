@@ -119,3 +119,11 @@ def test_spread_leaves_wide_inputs_alone(spark):
     assert spread(spark.range(10, numPartitions=1), "id").rdd.getNumPartitions() == 4
     wide = spark.range(10, numPartitions=9)
     assert spread(wide, "id") is wide
+
+
+def test_no_epochs_and_no_padding_id_are_refused(spark):
+    with pytest.raises(ValueError):
+        batches.expand_epochs(spark.range(3), 0)
+    plan = spark.range(1).selectExpr("0 epoch", "0 batch_id", "id row_id", "1 n_tokens")
+    with pytest.raises(ValueError):
+        batches.pad_batches(plan, plan, None)

@@ -167,6 +167,18 @@ def test_both_ways_to_split_agree(spark, turns):
     assert slow.exceptAll(fast).count() == 0
 
 
+def test_headers_that_join_the_last_message(spark):
+    """The header is no piece of its own where neither side of its border is whitespace."""
+    template = ChatTemplate(before=" ", between=" ", after="x", header="abc")
+    assert template.splits_at_messages and not template.splits_at_header
+    messages = [("user", "a"), ("assistant", "b")]
+    records = spark.createDataFrame(
+        [(0, "train", messages)], f"row_id long, split string, messages {MESSAGES}"
+    )
+    # " ", "user", " ", "axabc"
+    assert prep.split_records(records, None, template).head()["prompt_length"] == 4
+
+
 def test_prepared_rows(spark, turns, codec):
     for template in (CHATML, CHATML_TIGHT):
         rows = prep.prepare(chat_records(turns, 200), codec, 200, template)

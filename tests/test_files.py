@@ -96,3 +96,15 @@ def test_task_code_runs_where_the_package_is_not_installed():
     )
     # One record, one open line that ends no object, and the two ends of the block.
     assert done.stdout.split() == [b"4"], done.stderr
+
+
+def test_line_counts_in_folders_with_spaces(spark, tmp_path):
+    root = tmp_path / "a b+c"
+    root.mkdir()
+    (root / "x y.jsonl").write_text("1\n2\n")
+    (root / "100%.jsonl").write_text("1\n")
+    names = ["x y.jsonl", "100%.jsonl", "none.jsonl"]
+    rows = files.count_lines(spark, str(root), names).collect()
+    assert {tuple(r)[:1] + (r["found"], r["n_lines"]) for r in rows} == {
+        ("x y.jsonl", True, 2), ("100%.jsonl", True, 1), ("none.jsonl", False, 0)
+    }

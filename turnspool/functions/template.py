@@ -27,6 +27,11 @@ class ChatTemplate:
         """
         return self.after[-1:] in tuple(WHITESPACE) or self.before[:1] in tuple(WHITESPACE)
 
+    @property
+    def splits_at_header(self) -> bool:
+        """The same for the border between the last message and the header."""
+        return self.after[-1:] in tuple(WHITESPACE) or self.header[:1] in tuple(WHITESPACE)
+
 
 CHATML = ChatTemplate()
 # The same template without the last newline, so that a rendered text ends in the eos piece.

@@ -14,6 +14,8 @@ from turnspool.operators.order import global_index, long_levels, md5_levels
 
 def expand_epochs(rows: DataFrame, epochs: int) -> DataFrame:
     """Every row once per epoch, numbered from 0."""
+    if epochs < 1:
+        raise ValueError(f"{epochs} epochs")
     return rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
@@ -113,6 +115,8 @@ def pad_batches(plan: DataFrame, tokens: DataFrame, pad_id: int, side: str = "ri
 
     The widths are found on the lean plan, so the token arrays are shuffled once, by row.
     """
+    if pad_id is None:
+        raise ValueError("no padding id")
     width = F.col("width")
     fillers = {"input_ids": pad_id, "attention_mask": 0, "labels": IGNORE}
     joined = padded_width(plan.select("epoch", "batch_id", "row_id", "n_tokens")).join(

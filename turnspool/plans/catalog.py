@@ -242,8 +242,8 @@ def vocab_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = reports.first_row(records_of(spark, sf_dir))
-    return sample.select("row_id", render_chat(F.col("messages")).alias("text"))
+    turns = reports.first_row(turn_rows(turns_of(spark, sf_dir)))
+    return gather_messages(turns, "row_id").select("row_id", render_chat(F.col("messages")).alias("text"))
 
 
 @query

@@ -97,11 +97,11 @@ def split_records(
 ) -> DataFrame:
     """``(row_id, split, pieces, prompt_length)``: pieces of the full text, cut to ``max_length``.
 
-    The prompt is only counted, never encoded. Where pieces stay inside messages, each message is
-    split once and the prompt is the sum of all but the last.
+    The prompt is only counted, never encoded. Where pieces stay inside messages and header, each
+    message is split once and the prompt is the sum of all but the last.
     """
     messages = F.col("messages")
-    if template.splits_at_messages:
+    if template.splits_at_messages and template.splits_at_header:
         split = records.select("row_id", "split", split_messages(messages, template).alias("_parts"))
         parts = F.col("_parts")
         pieces = F.flatten(parts)
@@ -208,10 +208,12 @@ def piece_counts(
 def smoke_report(
     records: DataFrame, codec: Codec, max_length: int, sample_size: int | None = None
 ) -> DataFrame:
-    """Length and active labels of the first train row of a capped load."""
-    # Preparing keeps rows as they are, so only the row that is shown has to be prepared.
-    sample = first_row(cap_records(records, sample_size))
-    return label_counts(prepare(sample, codec, max_length))
+    """Length and active labels of the first train row of a capped load.
+
+    The whole sample is prepared, so that a bad record anywhere in it shows; its counts are staged.
+    """
+    sample = cap_records(records, sample_size)
+    return first_row(stage(label_counts(prepare(sample, codec, max_length)), "smoke-counts"))
 
 
 def write_prepared(prepared: DataFrame, path: str) -> None:

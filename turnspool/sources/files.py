@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 MESSAGES = "array<struct<role:string,content:string>>"
 CHAT_SCHEMA = f"messages {MESSAGES}"
 
+# The parser's own limit is 20 MB; a string is as long as it is.
+WHOLE_STRINGS = {"maxStringLen": str((1 << 31) - 1)}
+
 # A scan cuts a file in blocks; a row's place is (file, block, line).
 PLACE = ("file", "block", "line")
 LINE_BITS = 33
@@ -33,7 +37,8 @@ def read_chat_jsonl(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     The schema is fixed: there is no inference pass, and other fields are not parsed.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    rows = spark.read.schema(CHAT_SCHEMA).option("mode", "FAILFAST").json(paths)
+    reader = spark.read.schema(CHAT_SCHEMA).option("mode", "FAILFAST").options(**WHOLE_STRINGS)
+    rows = reader.json(paths)
     return rows.select("messages", *scan_place())
 
 
@@ -62,7 +67,7 @@ def read_prompt_files(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     texts = spark.read.text(paths, wholetext=True)
     return texts.select(
         F.col("_metadata.file_name").alias("file_name"),
-        F.from_json("value", MESSAGES, {"mode": "FAILFAST"}).alias("messages"),
+        F.from_json("value", MESSAGES, {"mode": "FAILFAST", **WHOLE_STRINGS}).alias("messages"),
         *[c for c in texts.columns if c != "value"],
     )
 
@@ -82,9 +87,11 @@ def count_lines(spark: SparkSession, root: str, expected: Sequence[str]) -> Data
     """
     inside = re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", root).rstrip("/") + "/"
     lines = spark.read.option("recursiveFileLookup", True).text(root)
-    # The scan's own listing, which unlike its rows also knows empty files.
-    present = {path.split(inside, 1)[-1].split("/")[0] for path in lines.inputFiles()}
-    name = F.split(F.substring_index("_metadata.file_path", inside, -1), "/")[0].alias("name")
+    # The scan's own listing, which unlike its rows also knows empty files. Both give URIs.
+    present = {unquote(path).split(inside, 1)[-1].split("/")[0] for path in lines.inputFiles()}
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    behind = F.substr(path, F.locate(inside, path) + F.lit(len(inside)))
+    name = F.split(behind, "/")[0].alias("name")
     counts = lines.groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"))
     entries = [
         F.struct(F.lit(n).alias("name"), F.lit(n in present).alias("found")) for n in expected

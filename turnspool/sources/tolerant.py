@@ -184,7 +184,7 @@ class TolerantScan:
 
     def messages(self) -> DataFrame:
         """``(messages, file, block, line)``; null messages where an object has none."""
-        parsed = F.from_json("text", CHAT_SCHEMA)
+        parsed = F.from_json("text", CHAT_SCHEMA, WHOLE_STRINGS)
         return self.kept.select(parsed["messages"].alias("messages"), *PLACE)
 
     def rejects(self) -> DataFrame:

@@ -21,8 +21,18 @@ def _local_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local temporary one only where none is configured."""
-    return (spark.conf.get(CHECKPOINT_DIR, None) or _local_dir()).rstrip("/")
+    """The folder that ``spark.checkpoint.dir`` or ``setCheckpointDir`` names.
+
+    Where neither is set, a temporary folder will do for a local master; executors on other
+    machines would not see it, so there it is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        folder = _local_dir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
