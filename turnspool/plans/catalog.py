@@ -26,7 +26,9 @@ from turnspool.sources.conversations import (
     chat_parts,
     chat_records,
     conversation_sizes,
+    gather_messages,
     last_parts,
+    turn_rows,
 )
 from turnspool.staging import fresh_path, spread, stage
 
@@ -243,7 +245,8 @@ def vocab_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sample_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = reports.first_row(turn_rows(turns_of(spark, sf_dir)))
-    return gather_messages(turns, "row_id").select("row_id", render_chat(F.col("messages")).alias("text"))
+    gathered = gather_messages(turns, "row_id")
+    return gathered.select("row_id", render_chat(F.col("messages")).alias("text"))
 
 
 @query
