@@ -1,16 +1,19 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document is its set of five-word shingles (A-Z lowered; a shorter text is one shingle). Documents
-with equal sets form a class, and only one member of a class is compared. A sketch has 128 minima:
-bands of four full minima give candidate buckets; of every minimum only two low bits are kept,
-packed in four longs. The share of equal bit pairs, corrected for those that are equal by chance,
-estimates the similarity; pairs far below the threshold are dropped, all others are confirmed on
-full sets. At a similarity of 0.75 a pair shares a band with a chance of 1 - 5e-6.
+with equal sets form a class, and only one member of a class is compared. Of 128 minima, bands of
+four give candidate buckets; at a similarity of 0.75 a pair shares a band with a chance of
+1 - 5e-6. A document that shares a bucket gets a signature of 2,048 minima, of which only two low
+bits are kept, packed in 64 longs. The share of equal bit pairs, corrected for those that are equal
+by chance, estimates the similarity; pairs far below the threshold are dropped, all others are
+confirmed on full sets.
 
 No bucket is expanded into all its pairs. Its members are compared with one of them, and components
-of confirmed links are found. Buckets that still hold several components go on with a finer sketch
-of 1,024 minima: first some rounds with other members as centers, then all pairs across components,
-in blocks, of which only those with a sufficient estimate leave the comparison.
+of confirmed links are found. Buckets that still hold several components are compared again with
+another center, and what then remains across components block by block, in bit counts over packed
+arrays. A pair leaves that comparison once, from the first bucket that it shares, and only with a
+sufficient estimate. Documents of one bucket that are neither linked nor far apart cost a bit count
+for each pair, the one cost that grows with the square of a bucket.
 
 A null or empty text, and one without words, has no shingle, is linked with nothing and kept. Null
 ids are never a component's id while another is there. Repeated rows are one class. Extra columns
@@ -33,16 +36,14 @@ from turnspool.staging import stage
 SHINGLE = 5
 PERCENT = 75
 MINIMA, BAND_ROWS, BITS = 128, 4, 2
-# For documents whose buckets one comparison has not settled.
-FINE_MINIMA = 1024
+# For signatures of documents that share a bucket.
+FINE_MINIMA = 2048
 # Pairs whose estimate is that many deviations below the threshold are no links.
 DEVIATIONS = 5.5
-HASHED_ROUNDS = 3
-BLOCK = 512
+HASHED_ROUNDS = 1
+BLOCK = 8192
 
-SKETCH = (
-    "struct<n:bigint,fp1:bigint,fp2:bigint,signature:array<bigint>,bands:array<bigint>>"
-)
+SKETCH = "struct<n:bigint,fp1:bigint,fp2:bigint,bands:array<bigint>>"
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +116,6 @@ def _sketches():
         for column in columns:
             n = np.zeros(len(column), np.int64)
             prints = np.zeros((2, len(column)), np.uint64)
-            packed = np.zeros((len(column), MINIMA * BITS // 64), np.uint64)
             bands = np.zeros((len(column), MINIMA // BAND_ROWS), np.uint64)
             for low, high, data, bounds in slices(column):
                 row, code = shingle_sets(reader.read(data, bounds))
@@ -126,12 +126,10 @@ def _sketches():
                 n[low:high] = np.bincount(row, minlength=high - low)
                 prints[0, at] = np.add.reduceat(code, heads)
                 prints[1, at] = np.add.reduceat(mix(code), heads)
-                minima = _minima(code, heads)
-                packed[at], bands[at] = _packed(minima), _bands(minima)
+                bands[at] = _bands(_minima(code, heads))
             arrays = [pa.array(n), *(pa.array(p.view(np.int64)) for p in prints)]
             yield pa.StructArray.from_arrays(
-                [*arrays, _lists(packed), _lists(bands)],
-                names=["n", "fp1", "fp2", "signature", "bands"],
+                [*arrays, _lists(bands)], names=["n", "fp1", "fp2", "bands"]
             )
 
     return F.arrow_udf(run, SKETCH)
@@ -178,41 +176,30 @@ def _overlap():
     return F.arrow_udf(run, "boolean")
 
 
-def estimate(a: Column, b: Column, minima: int) -> Column:
-    """Similarity from packed signatures: share of equal bit pairs without those by chance."""
+def differing(a: Column, b: Column) -> Column:
+    """How many bit pairs of two packed signatures differ."""
     odd = F.lit(0x5555555555555555)
-    differing = F.aggregate(
-        F.zip_with(
-            a,
-            b,
-            lambda x, y: F.bit_count(
-                x.bitwiseXOR(y).bitwiseOR(F.shiftrightunsigned(x.bitwiseXOR(y), 1)).bitwiseAND(odd)
-            ),
-        ),
-        F.lit(0),
-        lambda s, x: s + x,
-    )
-    chance = 1 / (1 << BITS)
-    return ((minima - differing) / minima - chance) / (1 - chance)
 
+    def count(x: Column, y: Column) -> Column:
+        other = x.bitwiseXOR(y)
+        return F.bit_count(other.bitwiseOR(F.shiftrightunsigned(other, 1)).bitwiseAND(odd))
 
-def least_estimate(minima: int) -> float:
-    """What the estimate of a link exceeds but for a chance of 2e-8."""
-    chance = 1 / (1 << BITS)
-    equal = chance + (1 - chance) * PERCENT / 100
-    deviation = (equal * (1 - equal) / minima) ** 0.5 / (1 - chance)
-    return PERCENT / 100 - DEVIATIONS * deviation
+    return F.aggregate(F.zip_with(a, b, count), F.lit(0), lambda s, x: s + x)
 
 
-def may_link(n1: str, n2: str, s1: str, s2: str, minima: int) -> Column:
-    """Whether sizes and signatures of two documents allow a link."""
-    small, large = F.least(n1, n2), F.greatest(n1, n2)
-    likely = estimate(F.col(s1), F.col(s2), minima) >= least_estimate(minima)
-    return (100 * small >= PERCENT * large) & likely
+def most_differing(minima: int) -> int:
+    """The bit pairs in which a link differs at most, but for a chance of 2e-8.
 
+    The similarity is estimated by the share of equal bit pairs without those equal by chance.
+    """
+    chance = 1 / (1 << BITS)
+    equal = chance + (1 - chance) * PERCENT / 100
+    deviation = (equal * (1 - equal) / minima) ** 0.5
+    return int(minima * (1 - equal + DEVIATIONS * deviation))
 
-def plausible(pairs: DataFrame, nodes: DataFrame, minima: int) -> DataFrame:
-    """The pairs ``(u, v)`` that may be links; ``nodes (node, n, signature)``."""
+
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``(u, v)`` whose sizes and signatures allow a link."""
     left = nodes.select(
         F.col("node").alias("u"), F.col("n").alias("n1"), F.col("signature").alias("s1")
     )
@@ -220,7 +207,9 @@ def plausible(pairs: DataFrame, nodes: DataFrame, minima: int) -> DataFrame:
         F.col("node").alias("v"), F.col("n").alias("n2"), F.col("signature").alias("s2")
     )
     both = pairs.join(left, "u").join(right, "v")
-    return both.filter(may_link("n1", "n2", "s1", "s2", minima)).select("u", "v")
+    near = differing(F.col("s1"), F.col("s2")) <= most_differing(FINE_MINIMA)
+    sized = 100 * F.least("n1", "n2") >= PERCENT * F.greatest("n1", "n2")
+    return both.filter(sized & near).select("u", "v")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -249,46 +238,92 @@ def star_pairs(members: DataFrame, seed: int | None) -> DataFrame:
     )
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, minima: int) -> DataFrame:
-    """The pairs of a bucket across components that may be links.
+def _rows_of(column: pa.ChunkedArray) -> np.ndarray:
+    values = column.combine_chunks()
+    return values.flatten().to_numpy().view(np.uint64).reshape(len(values), -1)
+
 
-    Each block of members meets each other block; only the pairs that pass leave the join.
+def _blocks_compared(table: pa.Table, most: int) -> pa.RecordBatch:
+    """The pairs of each pair of blocks in ``table``, which is sorted by bucket, blocks and own."""
+    bucket, low, high, own, node, root, n = (
+        table[c].to_numpy() for c in ("bucket", "low", "high", "own", "node", "root", "n")
+    )
+    bits, bands = _rows_of(table["signature"]), _rows_of(table["bands"])
+    odd = np.uint64(0x5555555555555555)
+    # Even and odd bits apart, each kind packed in half as many longs.
+    first, second = bits & odd, (bits >> np.uint64(1)) & odd
+    first = first[:, ::2] | first[:, 1::2] << np.uint64(1)
+    second = second[:, ::2] | second[:, 1::2] << np.uint64(1)
+    heads = _heads(bucket, low, high)
+    found = [np.zeros((2, 0), np.int64)]
+    for start, stop in zip(heads, [*heads[1:], len(node)], strict=True):
+        within = low[start] == high[start]
+        middle = stop if within else start + int(np.searchsorted(own[start:stop], high[start]))
+        for i in range(start, middle):
+            j = np.arange(i + 1 if within else middle, stop)
+            sized = 100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])
+            j = j[(root[j] != root[i]) & sized]
+            if not len(j):
+                continue
+            unequal = (first[j] ^ first[i]) | (second[j] ^ second[i])
+            j = j[np.bitwise_count(unequal).sum(1, dtype=np.int64) <= most]
+            shared = (bands[j] == bands[i]).argmax(1)
+            j = j[bands[i][shared] == bucket[i].view(np.uint64)]
+            found.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])]))
+    u, v = np.concatenate(found, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new)
+
+
+def _across(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            if not len(table):
+                continue
+            last = int(_heads(*(table[c].to_numpy() for c in ("bucket", "low", "high")))[-1])
+            rest = table.slice(last)
+            if last:
+                yield _blocks_compared(table.slice(0, last), most)
+        if rest is not None:
+            yield _blocks_compared(rest, most)
+
+    return run
+
+
+def cross_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs of a bucket across components that may be links, each once.
+
+    Each block of members meets each other block; only the pairs that pass leave the comparison.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    blocked = (
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = (
         members.join(sizes, "bucket")
-        .join(nodes.select("node", "n", "signature"), "node")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        .withColumn("blocks", blocks)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .select("bucket", "node", "root", "own", other.alias("other"))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
     )
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = blocked.select(
-        "bucket",
-        F.col("node").alias("u"),
-        F.col("root").alias("r1"),
-        F.col("n").alias("n1"),
-        F.col("signature").alias("s1"),
-        "own",
-        every.alias("other"),
-    )
-    right = blocked.select(
-        F.col("bucket").alias("bucket2"),
-        F.col("node").alias("v"),
-        F.col("root").alias("r2"),
-        F.col("n").alias("n2"),
-        F.col("signature").alias("s2"),
-        F.col("own").alias("other2"),
-        every.alias("own2"),
-    )
-    met = (
-        (F.col("bucket") == F.col("bucket2"))
-        & (F.col("own") == F.col("own2"))
-        & (F.col("other") == F.col("other2"))
-        & (F.col("u") < F.col("v"))
-        & (F.col("r1") != F.col("r2"))
-        & may_link("n1", "n2", "s1", "s2", minima)
+    keys = ["bucket", "low", "high"]
+    return (
+        placed.join(nodes.select("node", "n", "signature", "bands"), "node")
+        .select(*keys, "own", "node", "root", "n", "signature", "bands")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "own")
+        .mapInArrow(_across(most_differing(FINE_MINIMA)), "u bigint, v bigint")
     )
-    return left.join(right, met).select("u", "v").distinct()
 
 
 def undecided(members: DataFrame) -> DataFrame:
@@ -333,7 +368,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "classes",
     )
     nodes = rows.join(classes.select(F.col("node").alias("place")), "place", "left_semi").select(
-        F.col("place").alias("node"), "n", "signature", "bands", "doc_id", "text_hash"
+        F.col("place").alias("node"), "n", "bands", "doc_id", "text_hash"
     )
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
@@ -343,18 +378,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ),
         "buckets",
     )
-    wanted = members.select("node").distinct()
-    lean = stage(nodes.join(wanted, "node", "left_semi").drop("bands"), "nodes")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    # Null ids are compared as a flag and a value, so that rows lie by these keys once and for all.
+    keys = {
+        "text_hash": F.col("text_hash"),
+        "none": F.col("doc_id").isNull(),
+        "id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+    }
     texts = stage(
-        source.join(
-            lean.select("node", "doc_id", "text_hash"),
-            source["doc_id"].eqNullSafe(lean["doc_id"])
-            & (source["text_hash"] == lean["text_hash"]),
-        )
-        .select("node", "text")
-        .dropDuplicates(["node"]),
+        source.select("text", *[c.alias(k) for k, c in keys.items()])
+        .join(wanted.select("node", "n", "bands", *[c.alias(k) for k, c in keys.items()]), [*keys])
+        .dropDuplicates([*keys])
+        .select("node", "n", "bands", "text", _fine_signatures()(F.col("text")).alias("signature")),
         "texts",
     )
+
     def settled(pairs: DataFrame, links: DataFrame | None) -> tuple[DataFrame, ...]:
         new = stage(confirmed(stage(pairs, "pairs"), texts), "links")
         links = new if links is None else links.unionByName(new)
@@ -362,26 +400,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         own = members.withColumn("root", F.col("node"))
         return links, roots, stage(undecided(with_roots(own, roots)), "buckets")
 
-    links, roots, members = settled(
-        plausible(star_pairs(members, None), lean, MINIMA), None
-    )
-    rounds = [*range(HASHED_ROUNDS), None]
-    fine = None
-    for seed in rounds:
+    links, roots, members = settled(plausible(star_pairs(members, None), texts), None)
+    for seed in [*range(HASHED_ROUNDS), None]:
         if members.isEmpty():
             break
-        if fine is None:
-            fine = stage(
-                texts.join(members.select("node").distinct(), "node")
-                .join(lean.select("node", "n"), "node")
-                .select("node", "n", _fine_signatures()(F.col("text")).alias("signature")),
-                "fine-signatures",
-            )
-        if seed is None:
-            pairs = cross_pairs(members, fine, FINE_MINIMA)
-        else:
-            pairs = plausible(star_pairs(members, seed), fine, FINE_MINIMA)
-        links, roots, members = settled(pairs, links)
+        pairs = cross_pairs(members, texts) if seed is None else star_pairs(members, seed)
+        links, roots, members = settled(
+            pairs if seed is None else plausible(pairs, texts), links
+        )
     return _result(rows, classes, roots)
 
 
