@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from turnspool.sources.files import CHAT_SCHEMA, PLACE
+from turnspool.sources.files import CHAT_SCHEMA, PLACE, WHOLE_STRINGS
 from turnspool.staging import fresh_path, stage
 
 NOT_JSON, NOT_OBJECT = "not JSON", "not an object"
