@@ -11,6 +11,7 @@ from turnspool.llm import (
     line_dedup,
     minhash,
     packing,
+    periodic,
     quality,
     secrets,
     sharding,
@@ -134,6 +135,49 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("text")
 
 
+def repeated_words(doc_id: Column, text: Column) -> Column:
+    """The text of a document, where every tenth by crc32 repeats some words up to its end."""
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10).cast("bigint")
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (F.floor((n - a) / (3 + g % 8)) + 1).cast("int")
+        period = F.slice(words, a + 1, F.least(p, n - a))
+        times = F.ceil((n - a) / p).cast("int")
+        behind = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), behind), " ")
+
+    found = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # The array of one list binds the words, which are else searched for at every use.
+    return F.when(h % 10 == 0, F.transform(F.array(found), repeat)[0]).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    text = repeated_words(F.col("doc_id"), F.col("text")).alias("text")
+    found = periodic.find_periodic_runs(docs.select("doc_id", text))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    longest = F.array_min(
+        F.transform(
+            "runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"], r["period"])
+        )
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"),
+        (-longest["n"]).alias("length"),
+        longest["period"].alias("period"),
+        F.floor(-longest["n"] * 1000 / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_wu_manber": op2_wu_manber,
@@ -145,4 +189,5 @@ QUERIES = {
     "op8_seed_and_extend": op8_seed_and_extend,
     "op9_line_runs": op9_line_runs,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
+    "op13_periodic_runs": op13_periodic_runs,
 }
