@@ -217,7 +217,34 @@ FROM d LEFT JOIN gone USING (doc_id)
 """
 
 
+NEGATIVES_SQL = """
+WITH points AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negatives AS (
+  SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (
+           PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM negatives WHERE rank <= 10
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": NEGATIVES_SQL,
     "op2_wu_manber": DECONTAMINATION_SQL,
     "op3_b_bit_minhash": NEAR_SQL,
     "op9_line_runs": LINES_SQL,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnspool.llm import (
     decontamination,
+    hard_negatives,
     language,
     line_dedup,
     minhash,
@@ -135,6 +136,15 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine_hard_negatives(
+        vectors.select("vec_id", moved.alias("label"), "embedding"), vec_id % 100 == 0
+    )
+
+
 def repeated_words(doc_id: Column, text: Column) -> Column:
     """The text of a document, where every tenth by crc32 repeats some words up to its end."""
     h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -189,5 +199,6 @@ QUERIES = {
     "op8_seed_and_extend": op8_seed_and_extend,
     "op9_line_runs": op9_line_runs,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
