@@ -17,6 +17,7 @@ from turnspool.llm import (
     secrets,
     sharding,
     substring_dedup,
+    token_counts,
     toxicity,
 )
 from turnspool.llm.oracles import ORACLES
@@ -25,12 +26,17 @@ __all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 40
 SEQUENCE = 1024
+CONTEXT = 4096
 
 
-def vocabulary_path() -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path(name)
+
+
+def vocabulary_path() -> str:
+    return tokenizer_path("byte_bpe_50k.tiktoken")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +151,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT).alias("over_limit")
+    )
+
+
 def repeated_words(doc_id: Column, text: Column) -> Column:
     """The text of a document, where every tenth by crc32 repeats some words up to its end."""
     h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -200,5 +214,6 @@ QUERIES = {
     "op9_line_runs": op9_line_runs,
     "op10_toxicity_nnpu": op10_toxicity_nnpu,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_counts": op12_token_counts,
     "op13_periodic_runs": op13_periodic_runs,
 }
