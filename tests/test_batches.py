@@ -2,12 +2,15 @@
 
 import hashlib
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from turnspool.functions.labels import IGNORE
 from turnspool.operators import batches
 from turnspool.operators.order import global_index, long_levels, md5_levels
+from turnspool.operators.order import nth_least
 from turnspool.sources.splits import assemble_splits, cap_records
 from turnspool.staging import spread
 
@@ -103,18 +106,33 @@ def test_padding(spark, side, ids, mask, labels):
     assert (second["input_ids"], second["attention_mask"], second["labels"]) == (ids, mask, labels)
 
 
-def test_split_assembly_and_caps(spark, monkeypatch):
+def test_split_assembly_and_caps(spark):
     train = spark.range(30).withColumnRenamed("id", "row_id")
     both = assemble_splits(train, spark.range(5).withColumnRenamed("id", "row_id"))
     assert assemble_splits(train).select("split").distinct().collect() == [("train",)]
-    for small_cap in (100, 1):
-        monkeypatch.setattr("turnspool.sources.splits.SMALL_CAP", small_cap)
-        kept = cap_records(both, 7).groupBy("split").agg(F.count("*"), F.max("row_id"))
-        assert {tuple(r) for r in kept.collect()} == {("train", 7, 6), ("validation", 5, 4)}
+    kept = cap_records(both, 7)
+    sizes = kept.groupBy("split").agg(F.count("*"), F.max("row_id"))
+    assert {tuple(r) for r in sizes.collect()} == {("train", 7, 6), ("validation", 5, 4)}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "TakeOrdered" not in plan
     assert cap_records(both, 0).count() == 0
     assert cap_records(both, None).count() == 35
 
 
+def test_the_nth_least_value_is_found_over_all_bits(spark):
+    rng = random.Random(8)
+    values = [rng.choice([-1, 1]) * rng.getrandbits(rng.choice([3, 20, 41, 63])) for _ in range(500)]
+    rows = [("a" if i % 3 else "b", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    for n in (1, 2, 150, 160, 200, 400):
+        want = {}
+        for group in "ab":
+            own = sorted(v for g, v in rows if g == group)
+            if len(own) >= n:
+                want[group] = own[n - 1]
+        assert nth_least(df, "v", n, "g") == want
+
+
 def test_spread_leaves_wide_inputs_alone(spark):
     assert spread(spark.range(10, numPartitions=1), "id").rdd.getNumPartitions() == 4
     wide = spark.range(10, numPartitions=9)

@@ -18,10 +18,8 @@ from turnspool.operators.vocabulary import (
 from turnspool.plans import prepare as prep
 from turnspool.sources.conversations import (
     blocks_beyond,
-    chat_parts,
     chat_records,
     drop_turns_beyond,
-    last_parts,
     turn_rows,
 )
 from turnspool.sources.files import MESSAGES
@@ -253,14 +251,30 @@ def test_long_conversations_are_cut_before_they_are_gathered(
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_parts_of_a_long_conversation_make_up_its_text(spark, long_turns):
-    parts = chat_parts(long_turns)
-    assert parts.agg(F.max(F.size("messages"))).first()[0] <= 1024
-    texts = {
-        (r["row_id"], r["part"]): r["text"]
-        for r in prep.render_prompt_parts(parts, last_parts(long_turns)).collect()
-    }
-    whole = "".join(text for (row, _), text in sorted(texts.items()) if row == 1)
+def test_a_long_conversation_is_one_row_of_whole_text(spark, long_turns):
+    records = chat_records(long_turns)
+    assert records.filter("row_id = 1").select(F.size("messages")).collect() == [(5000,)]
     turn = "<|im_start|>user\n{}<|im_end|>\n"
-    assert whole == "".join(turn.format(i) for i in range(4999)) + CHATML.header
-    assert len([1 for row, _ in texts if row == 2]) == 1
+    texts, prompts = (
+        {r["row_id"]: r["text"] for r in render(records).collect()}
+        for render in (prep.render_texts, prep.render_prompts)
+    )
+    assert texts[1] == "".join(turn.format(i) for i in range(5000))
+    assert prompts[1] == "".join(turn.format(i) for i in range(4999)) + CHATML.header
+    assert len(texts) == len(prompts) == 21
+
+
+@pytest.mark.parametrize("column", ["role", "text"])
+def test_a_null_behind_the_cut_makes_a_conversation_unusable(spark, long_turns, codec, column):
+    """Turn 4,500 lies far behind the 64 pieces that are kept."""
+    spoiled = long_turns.withColumn(
+        column,
+        F.when((F.col("conv_id") != 1) | (F.col("turn") != 4500 * 3), F.col(column)),
+    )
+    with pytest.raises(Exception, match="without usable messages, row_id 1"):
+        prep.prepare(chat_records(spoiled, 64), codec, 64).collect()
+    rows = prep.prepare(chat_records(spoiled, 64), codec, 64, on_unusable="skip")
+    assert rows.count() == 20
+    left_out = prep.unusable_records(chat_records(spoiled, 64)).select("row_id", F.size("messages"))
+    ((row_id, size),) = left_out.collect()
+    assert row_id == 1 and size <= 65 + 1024 + 1

@@ -23,9 +23,40 @@ def test_strict_scan_keeps_order_and_drops_other_fields(spark, settings, tmp_pat
     rows = files.read_chat_jsonl(spark, [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")])
     assert rows.columns == ["messages", "file", "block", "line"]
     assert rows.select("file", "block").distinct().count() > 4
-    numbered = files.add_row_ids(stage(rows, "scan")).orderBy("row_id")
-    texts = [r["messages"][0]["content"] for r in numbered.collect()]
-    assert texts == [f"{name}{i}" for name in "ab" for i in range(200)]
+    names = files.scan_files(spark, str(tmp_path))
+    want = [f"{name}{i}" for name in "ab" for i in range(200)]
+    for numbered in (files.add_row_ids(rows, names), files.add_row_ids(stage(rows, "scan"))):
+        found = numbered.orderBy("row_id").collect()
+        assert [r["messages"][0]["content"] for r in found] == want
+        assert len({r["row_id"] for r in found}) == 400
+        # The id is worked out where a row is read.
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("at_once", [2, 100_000])
+def test_row_ids_of_files_with_odd_names(spark, monkeypatch, tmp_path, at_once):
+    monkeypatch.setattr(files, "BROADCAST_FILES", at_once)
+    for i, name in enumerate(["a b", "c+d", "e%20f", "é", "sub=1/x", "zz"]):
+        path = tmp_path / f"{name}.jsonl"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(
+            "".join(f'{{"messages": [{{"role": "r", "content": "{i}-{k}"}}]}}\n' for k in range(3))
+        )
+    paths = [str(tmp_path), str(tmp_path / "sub=1")]
+    rows = files.read_chat_jsonl(spark, paths)
+    found = files.add_row_ids(rows, files.scan_files(spark, paths)).orderBy("row_id").collect()
+    texts = [r["messages"][0]["content"] for r in found]
+    assert len(texts) == 18 and len({r["row_id"] for r in found}) == 18
+    by_file = [texts[k : k + 3] for k in range(0, 18, 3)]
+    assert all(part == [f"{part[0][0]}-{k}" for k in range(3)] for part in by_file)
+
+
+def test_packed_blocks_are_refused(spark, settings, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"messages": []}\n')
+    settings(spark__sql__files__maxPartitionNum="1")
+    with pytest.raises(ValueError, match="maxPartitionNum"):
+        files.add_row_ids(files.read_chat_jsonl(spark, str(tmp_path)))
 
 
 def test_strict_scan_stops_at_a_broken_line(spark, tmp_path):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# From the upper bits of a bigint to the lowest: at most 2**21 buckets of each bucket before.
+LEVEL_WIDTHS = (21, 21, 21)
+
 
 def md5_levels(digest: Column) -> list[Column]:
     """65,536 even buckets of a hex digest: one per value of its first four digits."""
@@ -64,3 +68,45 @@ def running_starts(sizes: DataFrame, within: list[str], keys: list[str]) -> Data
         .withColumn("_start", F.col("_start") + F.col("_base"))
         .drop("_n", "_base")
     )
+
+
+def nth_least(df: DataFrame, value: str, n: int, within: str) -> dict[str, int]:
+    """The ``n``-th least bigint of each group that has so many; groups are few.
+
+    Found from coarse to fine: values are counted by their upper bits, the bucket that holds the
+    n-th is split by the next bits, and so on. Counts are combined in every task and no task sees
+    more than one row per bucket, so neither ``n`` nor the number of rows is in the way. The jobs
+    run while the plan is made, on two columns.
+    """
+    bits = 63
+    found: dict[str, int] = {}
+    for width in LEVEL_WIDTHS:
+        bits -= width
+        bucket = F.shiftright(F.col(value).cast("bigint"), bits)
+        rows = df
+        if found:
+            of_group = [
+                (F.col(within) == group)
+                & (F.shiftright(F.col(value).cast("bigint"), bits + width) == upper)
+                for group, (upper, _) in found.items()
+            ]
+            rows = df.filter(functools.reduce(Column.__or__, of_group))
+        wanted = F.lit(n)
+        for group, (_, before) in found.items():
+            wanted = F.when(F.col(within) == group, F.lit(n - before)).otherwise(wanted)
+        counts = rows.groupBy(within, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy(within).orderBy("_bucket")
+        reached = (
+            counts.withColumn("_upto", F.sum("_n").over(upto))
+            .filter(F.col("_upto") >= wanted)
+            .groupBy(within)
+            .agg(F.min_by(F.struct("_bucket", "_upto", "_n"), "_bucket").alias("at"))
+        )
+        last = {r[within]: r["at"] for r in reached.collect()}
+        found = {
+            group: (at["_bucket"], at["_upto"] - at["_n"] + (found[group][1] if found else 0))
+            for group, at in last.items()
+        }
+        if not found:
+            return {}
+    return {group: value for group, (value, _) in found.items()}

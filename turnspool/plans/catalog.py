@@ -23,13 +23,12 @@ from turnspool.sources import files, splits, tolerant
 from turnspool.sources.conversations import (
     TRAIN,
     VALIDATION,
-    chat_parts,
     chat_records,
     conversation_sizes,
     gather_messages,
-    last_parts,
     turn_rows,
 )
+from turnspool.sources.loading import read_chat_files
 from turnspool.staging import fresh_path, spread, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,14 +105,27 @@ def big(column: Column) -> Column:
 # Scans and sinks
 
 
-def write_split_jsonl(parts: DataFrame, spark: SparkSession) -> dict[str, str]:
-    """One folder of JSONL per split, in (row_id, part) order over its files."""
-    root = fresh_path(spark, "chat-jsonl")
-    folders = {split: f"{root}/{split}" for split in (TRAIN, VALIDATION)}
-    for split, folder in folders.items():
-        ordered = parts.filter(F.col("split") == split).orderBy("row_id", "part")
-        ordered.select("row_id", "messages").write.json(folder)
-    return folders
+def write_lines(records: DataFrame, lines: Column, spark: SparkSession) -> dict[str, str]:
+    """A folder of text files per split, with the lines of each record in ``row_id`` order."""
+    root = fresh_path(spark, "chat-lines")
+    ordered = records.repartitionByRange("row_id").sortWithinPartitions("split", "row_id")
+    ordered.select("split", lines.alias("value")).write.partitionBy("split").text(root)
+    return {split: f"{root}/split={split}" for split in (TRAIN, VALIDATION)}
+
+
+def as_json(**options: str) -> Column:
+    return F.to_json(F.struct("row_id", "messages"), options)
+
+
+def mixed_lines() -> Column:
+    """Records as compact lines, as pretty-printed objects, and behind broken text."""
+    compact, pretty = as_json(), as_json(pretty="true")
+    return (
+        F.when(F.col("row_id") % 4 == 0, compact)
+        .when(F.col("row_id") % 4 == 1, pretty)
+        .when(F.col("row_id") % 4 == 2, F.concat(F.lit("{broken\n\n"), compact, F.lit("\n  ")))
+        .otherwise(F.concat(pretty, F.lit("\n")))
+    )
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -133,42 +145,36 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 @query
 def jsonl_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folders = write_split_jsonl(chat_parts(turns_of(spark, sf_dir)), spark)
-    scanned = splits.assemble_splits(
-        files.read_chat_jsonl(spark, folders[TRAIN]),
-        files.read_chat_jsonl(spark, folders[VALIDATION]),
-    )
-    return numbered(files.add_row_ids(stage(scanned, "jsonl-scan")))
+    folders = write_lines(chat_records(turns_of(spark, sf_dir)), as_json(), spark)
+    scans = [
+        files.add_row_ids(
+            files.read_chat_jsonl(spark, folders[split]), files.scan_files(spark, folders[split])
+        )
+        for split in (TRAIN, VALIDATION)
+    ]
+    return numbered(splits.assemble_splits(*scans))
 
 
 @query
 def jsonl_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records as compact lines, as pretty-printed objects, and behind broken text."""
-    parts = chat_parts(turns_of(spark, sf_dir))
-    record = F.struct("row_id", "messages")
-    compact, pretty = F.to_json(record), F.to_json(record, {"pretty": "true"})
-    lines = (
-        F.when(F.col("row_id") % 4 == 0, compact)
-        .when(F.col("row_id") % 4 == 1, pretty)
-        .when(F.col("row_id") % 4 == 2, F.concat(F.lit("{broken\n\n"), compact, F.lit("\n  ")))
-        .otherwise(F.concat(pretty, F.lit("\n")))
+    """Records in all the forms of ``mixed_lines``."""
+    records = chat_records(turns_of(spark, sf_dir)).withColumn("split", F.lit(TRAIN))
+    scan = tolerant.read_tolerant(spark, write_lines(records, mixed_lines(), spark)[TRAIN])
+    return numbered(
+        files.add_row_ids(scan.messages(), scan.files).withColumn("split", F.lit(TRAIN))
     )
-    folder = fresh_path(spark, "chat-mixed")
-    parts.orderBy("row_id", "part").select(lines.alias("value")).write.text(folder)
-    scan = tolerant.read_tolerant(spark, folder)
-    return numbered(files.add_row_ids(scan.messages()).withColumn("split", F.lit(TRAIN)))
 
 
 @query
 def jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the tolerant reader leaves out: a stray closing line under every record."""
-    parts = chat_parts(turns_of(spark, sf_dir))
+    records = chat_records(turns_of(spark, sf_dir))
     lines = F.concat(
-        F.to_json(F.struct("row_id", "messages")),
+        as_json(),
         F.lit("\n]"), F.col("row_id").cast("string"), F.lit("\n\n"), F.col("row_id").cast("string"),
     )
     folder = fresh_path(spark, "chat-broken")
-    parts.select(lines.alias("value")).write.text(folder)
+    records.select(lines.alias("value")).write.text(folder)
     return tolerant.read_tolerant(spark, folder).rejects().select("text", "reason")
 
 
@@ -287,13 +293,12 @@ def prompt_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def render_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prep.render_parts(chat_parts(turns_of(spark, sf_dir)))
+    return prep.render_texts(chat_records(turns_of(spark, sf_dir)))
 
 
 @query
 def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = turns_of(spark, sf_dir)
-    return prep.render_prompt_parts(chat_parts(turns), last_parts(turns))
+    return prep.render_prompts(chat_records(turns_of(spark, sf_dir)))
 
 
 @query
@@ -519,7 +524,7 @@ def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chat_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spell_arrays(prepared_of(spark, sf_dir), "input_ids", "attention_mask", "labels")
+    return spell_arrays(prepared_of(spark, sf_dir), *TOKENS)
 
 
 @query
@@ -530,6 +535,66 @@ def chat_prepare_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spell_arrays(rows, "input_ids", "attention_mask", "labels")
 
 
+def broken_lines() -> Column:
+    """Two objects without usable messages beside some records, in text that is partly broken."""
+    row_id = F.col("row_id").cast("string")
+    no_messages = F.concat(F.lit('{"row_id":'), row_id, F.lit("}\n"))
+    no_content = F.concat(
+        F.lit('{"row_id":'), row_id, F.lit(',"messages":[{"role":"user"}]}\n')
+    )
+    front = F.when(F.col("row_id") % 7 == 3, no_messages).when(F.col("row_id") % 7 == 5, no_content)
+    return F.concat(F.coalesce(front, F.lit("")), mixed_lines())
+
+
+def positioned(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of files by their position in the split, arrays spelled."""
+    row_id = F.col("row_id")
+    indexed = global_index(
+        rows.select("row_id", "split"), [row_id], long_levels(row_id), within=["split"]
+    ).withColumn("idx", big(F.col("idx")))
+    return spell_arrays(rows.join(indexed, ["row_id", "split"]).drop("row_id"), *columns)
+
+
+TOKENS = ("input_ids", "attention_mask", "labels")
+
+
+def prepared_files(spark: SparkSession, sf_dir: str, lines: Column, **options) -> DataFrame:
+    folders = write_lines(chat_records(turns_of(spark, sf_dir)), lines, spark)
+    rows, _ = prep.prepare_files(
+        spark, folders[TRAIN], folders[VALIDATION], max_pieces=VOCABULARY, max_length=MAX_LENGTH,
+        **options,
+    )
+    return positioned(rows, *TOKENS)
+
+
+@query
+def chat_prepare_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From strict JSONL files of both splits to training rows, the vocabulary fitted on the way."""
+    return prepared_files(spark, sf_dir, as_json())
+
+
+@query
+def chat_prepare_files_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from messy files, labels by marker."""
+    return prepared_files(spark, sf_dir, broken_lines(), tolerant=True, marker=MARKER)
+
+
+@query
+def chat_prepare_files_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first records of each split; files behind them stay closed."""
+    return prepared_files(
+        spark, sf_dir, as_json(), cap=SAMPLE, codec=codec_of(spark, sf_dir)
+    )
+
+
+@query
+def chat_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a tolerant load of both splits sets aside."""
+    folders = write_lines(chat_records(turns_of(spark, sf_dir)), broken_lines(), spark)
+    loaded = read_chat_files(spark, folders[TRAIN], folders[VALIDATION], tolerant=True)
+    return loaded.rejects.select("split", "text", "reason")
+
+
 @query
 def prepare_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.smoke_report(

@@ -18,7 +18,6 @@ def with_(*ctes: str) -> str:
 TURNS = f"""turns AS (
   SELECT conv_id AS row_id, turn, role, text AS content,
          CASE WHEN conv_id % 20 = 0 THEN 'validation' ELSE 'train' END AS split,
-         turn // 1024 AS part,
          max(turn) OVER (PARTITION BY conv_id) AS last_turn,
          '<|im_start|>' || role || {NL} || text || '<|im_end|>' AS tight,
          '<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL} AS rendered
@@ -180,22 +179,35 @@ SELECT epoch, batch_id, row_id, width, {columns} FROM wide"""
     )
 
 
-PART_TEXTS = """part_texts AS (
-  SELECT row_id, part, split, count(*) AS n_messages,
-         string_agg(rendered, '' ORDER BY turn) AS text
-  FROM turns GROUP BY row_id, part, split)"""
+WHOLE_TEXTS = """whole_texts AS (
+  SELECT row_id, split, count(*) AS n_messages, string_agg(rendered, '' ORDER BY turn) AS text
+  FROM turns GROUP BY row_id, split)"""
+
+# Rows of files by their position in the split.
+POSITIONED = f"""SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_id) - 1 AS idx,
+       {joined('ids')} AS input_ids,
+       {joined('list_transform(ids, lambda x: 1)')} AS attention_mask,
+       {joined('labels')} AS labels
+FROM labelled"""
+
+QUARANTINE = """SELECT split, '{broken' AS text, 'not JSON' AS reason FROM sizes WHERE row_id % 4 = 2
+UNION ALL
+SELECT split, '{"row_id":' || row_id || '}', 'no usable messages' FROM sizes WHERE row_id % 7 = 3
+UNION ALL
+SELECT split, '{"row_id":' || row_id || ',"messages":[{"role":"user"}]}', 'no usable messages'
+FROM sizes WHERE row_id % 7 = 5"""
 
 
 ORACLES: dict[str, str] = {
-    "jsonl_strict": with_(TURNS, PART_TEXTS)
-    + """SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_id, part) - 1 AS idx,
-       n_messages, text FROM part_texts""",
-    "jsonl_tolerant": with_(TURNS, PART_TEXTS)
-    + """SELECT 'train' AS split, row_number() OVER (ORDER BY row_id, part) - 1 AS idx,
-       n_messages, text FROM part_texts""",
-    "jsonl_rejects": with_(TURNS, PART_TEXTS)
-    + """SELECT ']' || row_id AS text, 'not JSON' AS reason FROM part_texts
-UNION ALL SELECT CAST(row_id AS VARCHAR), 'not an object' FROM part_texts""",
+    "jsonl_strict": with_(TURNS, WHOLE_TEXTS)
+    + """SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_id) - 1 AS idx,
+       n_messages, text FROM whole_texts""",
+    "jsonl_tolerant": with_(TURNS, WHOLE_TEXTS)
+    + """SELECT 'train' AS split, row_number() OVER (ORDER BY row_id) - 1 AS idx,
+       n_messages, text FROM whole_texts""",
+    "jsonl_rejects": with_(TURNS, WHOLE_TEXTS)
+    + """SELECT ']' || row_id AS text, 'not JSON' AS reason FROM whole_texts
+UNION ALL SELECT CAST(row_id AS VARCHAR), 'not an object' FROM whole_texts""",
     "split_cap": with_(SIZES)
     + """SELECT row_id, split, n_turns FROM (
   SELECT *, row_number() OVER (PARTITION BY split ORDER BY row_id) AS rn FROM sizes)
@@ -220,11 +232,11 @@ ORDER BY row_id LIMIT 1""",
     "prompt_choice": """SELECT item_id AS prompt_id,
        CASE WHEN contains(text, chr(10)) THEN 'From a file: ' || text ELSE text END AS user_text
 FROM benchmark""",
-    "render_full": with_(TURNS, PART_TEXTS) + "SELECT row_id, part, text FROM part_texts",
+    "render_full": with_(TURNS, WHOLE_TEXTS) + "SELECT row_id, text FROM whole_texts",
     "render_prompt": with_(TURNS)
-    + f"""SELECT row_id, part, string_agg(
+    + f"""SELECT row_id, string_agg(
          CASE WHEN turn = last_turn THEN {HEADER} ELSE rendered END, '' ORDER BY turn) AS text
-FROM turns GROUP BY row_id, part""",
+FROM turns GROUP BY row_id""",
     "render_infer": with_(PROMPTS) + "SELECT prompt_id, text FROM prompts",
     "vocab_build": with_(TURNS, VOCAB) + "SELECT piece, id, n, is_special FROM vocab",
     "encode_ids": with_(
@@ -291,6 +303,10 @@ FROM batches GROUP BY step, epoch""",
     "resume_rows": with_(PLAN) + "SELECT row_id, epoch, step FROM plan WHERE step >= 3",
     "chat_prepare": labelled() + ROWS,
     "chat_prepare_marker": BY_MARKER + ROWS,
+    "chat_prepare_files": labelled() + POSITIONED,
+    "chat_prepare_files_tolerant": BY_MARKER + POSITIONED,
+    "chat_prepare_files_capped": labelled() + POSITIONED + " QUALIFY idx < 20",
+    "chat_quarantine": with_(SIZES) + QUARANTINE,
     "prepare_smoke": labelled()
     + f"""SELECT row_id, split, CAST(len(ids) AS BIGINT) AS n_tokens, {ACTIVE} AS n_active
 FROM labelled WHERE split = 'train' ORDER BY row_id LIMIT 1""",

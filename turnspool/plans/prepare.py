@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnspool.functions.labels import (
@@ -26,29 +26,22 @@ from turnspool.operators.encode import encode, lookup_ids, truncate
 from turnspool.operators.reports import first_row, label_counts
 from turnspool.operators.vocabulary import Codec, fit_vocabulary
 from turnspool.sources.conversations import TRAIN, turn_rows
+from turnspool.sources.loading import Paths, read_chat_files
 from turnspool.sources.splits import cap_records
 from turnspool.staging import stage
 
 DEFAULT_MAX_LENGTH = 4096
+DEFAULT_PIECES = 32_000
 
 
-def render_parts(parts: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
-    """The text of every part; in part order they make up the conversation."""
-    return parts.select("row_id", "part", render_chat(F.col("messages"), template).alias("text"))
+def render_texts(records: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
+    """``(row_id, text)``: the whole conversation."""
+    return records.select("row_id", render_chat(F.col("messages"), template).alias("text"))
 
 
-def render_prompt_parts(
-    parts: DataFrame, last: DataFrame, template: ChatTemplate = CHATML
-) -> DataFrame:
-    """The prompt in parts: the last part leaves out its last message and opens the reply.
-
-    ``last`` joins on the columns the parts are partitioned by, so no text moves for it.
-    """
-    messages = F.col("messages")
-    text = F.when(F.col("is_last"), render_prompt(messages, template)).otherwise(
-        render_chat(messages, template)
-    )
-    return parts.join(last, ["row_id", "part"], "left").select("row_id", "part", text.alias("text"))
+def render_prompts(records: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
+    """``(row_id, text)``: all but the last message, and the header that opens the reply."""
+    return records.select("row_id", render_prompt(F.col("messages"), template).alias("text"))
 
 
 def usable_records(records: DataFrame, on_unusable: str = "raise") -> DataFrame:
@@ -206,6 +199,33 @@ def piece_counts(
     )
 
 
+def prepare_files(
+    spark: SparkSession,
+    train: Paths,
+    validation: Paths | None = None,
+    codec: Codec | None = None,
+    max_pieces: int = DEFAULT_PIECES,
+    max_length: int | None = DEFAULT_MAX_LENGTH,
+    marker: str | None = None,
+    template: ChatTemplate = CHATML,
+    tolerant: bool = False,
+    cap: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """From chat files to training rows of both splits, and what was set aside on the way.
+
+    Without a ``codec`` a vocabulary of ``max_pieces`` is fitted on the train records, which are
+    read once more for it. Labels are by length, or by ``marker`` where one is given.
+    """
+    files = read_chat_files(spark, train, validation, tolerant, cap)
+    if codec is None:
+        codec = Codec(fit_on_train_records(files.records, max_pieces, template))
+    if marker is None:
+        rows = prepare(files.records, codec, max_length, template)
+    else:
+        rows = prepare_by_marker(files.records, codec, marker, max_length, template)
+    return rows, files.rejects
+
+
 def smoke_report(
     records: DataFrame, codec: Codec, max_length: int, sample_size: int | None = None
 ) -> DataFrame:

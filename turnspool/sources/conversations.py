@@ -57,67 +57,85 @@ def blocks_beyond(turns: DataFrame, keep_turns: int) -> DataFrame:
     )
 
 
+def turn_span(turns: DataFrame) -> int:
+    """How many turn numbers the turns span; as turns are unique, none has more. One look at a
+    column's range."""
+    low, high = turns.agg(F.min("turn"), F.max("turn")).first()
+    return 0 if low is None else high - low + 1
+
+
 def drop_turns_beyond(turns: DataFrame, keep_turns: int) -> DataFrame:
     """Leave at least the first ``keep_turns`` turns of a conversation and no unbounded rest.
 
     Only for consumers that read no further, such as a cut to ``max_length`` pieces: a rendered
     turn is at least one piece long. What remains per conversation is under ``keep_turns`` turns
-    plus one block.
+    plus one block, and one turn without role or content if it has any anywhere, so that what is
+    cut off still counts for whether a conversation is usable.
 
-    As turns are unique, a conversation can only be too long if turn numbers span more than
-    ``keep_turns``; in the common case that one look at a column's range settles it. Otherwise the
-    blocks to drop are counted. The join is on (conversation, block), which spreads a long
-    conversation over all tasks, whether the list is short enough to broadcast or not.
+    In the common case that no conversation can be too long nothing is done. Otherwise the blocks to
+    drop are counted. The join is on (conversation, block), which spreads a long conversation over
+    all tasks, whether the list is short enough to broadcast or not.
     """
-    low, high = turns.agg(F.min("turn"), F.max("turn")).first()
-    if low is None or high - low < keep_turns:
+    if turn_span(turns) <= keep_turns:
         return turns
     beyond = blocks_beyond(turns, keep_turns)
     if beyond.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         beyond = F.broadcast(beyond)
     marked = turns.withColumn("block", turn_block(F.col("turn")))
-    return marked.join(beyond, ["row_id", "block"], "left_anti").drop("block")
+    kept = marked.join(beyond, ["row_id", "block"], "left_anti").drop("block")
+    return kept.unionByName(unusable_turns(turns))
 
 
-def gather_messages(turns: DataFrame, *group: str) -> DataFrame:
-    """Group turn rows to ``messages``, in turn order."""
-    in_order = F.array_sort(F.collect_list(F.struct("turn", "role", "content")))
-    messages = F.transform(
-        in_order, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
+def unusable_turns(turns: DataFrame) -> DataFrame:
+    """One turn without role or content of each conversation that has such; combined map-side."""
+    no_text = F.lit(None).cast("string")
+    return (
+        turns.filter(F.col("role").isNull() | F.col("content").isNull())
+        .groupBy("row_id", "split")
+        .agg(F.max("turn").alias("turn"))
+        .select("row_id", "split", "turn", no_text.alias("role"), no_text.alias("content"))
     )
-    return turns.groupBy(*group).agg(messages.alias("messages"))
 
 
-def chat_records(turns: DataFrame, max_length: int) -> DataFrame:
-    """``(row_id, split, messages)`` for a consumer that cuts to ``max_length`` pieces.
+def in_turn_order() -> Column:
+    """The messages of a group of turns."""
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "content")))
+    return F.transform(
+        ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
+    )
 
-    One message more than that decides everything: the cut text, and that a longer prompt leaves
-    no label. So no conversation is gathered beyond it, however long it is.
-    """
-    rows = drop_turns_beyond(turn_rows(turns), max_length + 1)
-    gathered = gather_messages(rows, "row_id")
-    return gathered.select("row_id", split_of(F.col("row_id")).alias("split"), "messages")
 
+def gather_messages(turns: DataFrame, *group: str) -> DataFrame:
+    """Group turn rows to ``messages``, in turn order."""
+    return turns.groupBy(*group).agg(in_turn_order().alias("messages"))
 
-def chat_parts(turns: DataFrame) -> DataFrame:
-    """``(row_id, part, split, messages)``: whole conversations, in parts of one turn block.
 
-    Part 0 is the whole conversation for all but very long ones. No row or group is larger than
-    a block, and the parts of a long conversation are spread over all tasks.
-    """
-    rows = turn_rows(turns).withColumn("part", turn_block(F.col("turn")))
-    gathered = gather_messages(rows, "row_id", "part")
-    return gathered.select("row_id", "part", split_of(F.col("row_id")).alias("split"), "messages")
+def gather_blocks(turns: DataFrame) -> DataFrame:
+    """``(row_id, messages)`` of conversations of any length: first the turns of each block are put
+    in order, spread over all tasks, then the blocks of each conversation."""
+    blocks = gather_messages(
+        turns.withColumn("block", turn_block(F.col("turn"))), "row_id", "block"
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("block", "messages")))
+    return blocks.groupBy("row_id").agg(F.flatten(in_order["messages"]).alias("messages"))
 
 
-def last_parts(turns: DataFrame) -> DataFrame:
-    """``(row_id, part, is_last)`` of the part that ends each conversation; two lean columns read."""
-    return (
-        turn_rows(turns)
-        .groupBy("row_id")
-        .agg(turn_block(F.max("turn")).alias("part"))
-        .withColumn("is_last", F.lit(True))
-    )
+def chat_records(turns: DataFrame, max_length: int | None = None) -> DataFrame:
+    """``(row_id, split, messages)``, one row per conversation.
+
+    For a consumer that cuts to ``max_length`` pieces one message more than that decides
+    everything: the cut text, and that a longer prompt leaves no label. So no conversation is
+    gathered beyond it, however long it is. Without ``max_length`` whole conversations are
+    gathered.
+    """
+    rows = turn_rows(turns)
+    if max_length is not None:
+        gathered = gather_messages(drop_turns_beyond(rows, max_length + 1), "row_id")
+    elif turn_span(rows) <= 1 << TURN_BLOCK_BITS:
+        gathered = gather_messages(rows, "row_id")
+    else:
+        gathered = gather_blocks(rows)
+    return gathered.select("row_id", split_of(F.col("row_id")).alias("split"), "messages")
 
 
 def conversation_sizes(turns: DataFrame) -> DataFrame:

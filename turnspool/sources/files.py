@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnspool.staging import stage
+
 MESSAGES = "array<struct<role:string,content:string>>"
 CHAT_SCHEMA = f"messages {MESSAGES}"
 
@@ -18,8 +21,12 @@ WHOLE_STRINGS = {"maxStringLen": str((1 << 31) - 1)}
 # A scan cuts a file in blocks; a row's place is (file, block, line).
 PLACE = ("file", "block", "line")
 LINE_BITS = 33
-# A list of blocks (path and two numbers each) is broadcast up to this many rows.
-BROADCAST_BLOCKS = 100_000
+# A row id is the rank of its file and, in these bits, its place: first byte of the block plus line.
+FILE_BITS = 42
+# So many file names with their ranks are broadcast at once.
+BROADCAST_FILES = 100_000
+# Packs several blocks of a file in one scan task, where lines would be counted on.
+PACKED_BLOCKS = "spark.sql.files.maxPartitionNum"
 
 
 def scan_place() -> list[Column]:
@@ -42,20 +49,75 @@ def read_chat_jsonl(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return rows.select("messages", *scan_place())
 
 
-def add_row_ids(rows: DataFrame) -> DataFrame:
-    """Replace ``(file, block, line)`` by ``row_id``: unique, and in file order.
+def plain_uri(path: Column) -> Column:
+    """A path as a scan's rows and its listing both spell it, but for their slashes in front."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def scan_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files of a scan in order, from its own listing."""
+    return sorted(spark.read.text([path] if isinstance(path, str) else list(path)).inputFiles())
 
-    Blocks are ranked on a table with one row per block (128 MB of input by default); rows are
-    neither sorted nor shuffled while that table is short. ``rows`` is read twice, and how a scan
-    cuts files can differ between two reads, so it must be a staged table.
+
+def add_row_ids(
+    rows: DataFrame, files: Sequence[str] | None = None, keep_place: bool = False
+) -> DataFrame:
+    """Add ``row_id``, unique and in file order, for ``(file, block, line)``, which may be kept.
+
+    ``files`` are all files of the scan (``scan_files``); without them their names are looked up in
+    ``rows``, which is then read once more. The id is arithmetic on the row: a line has at least one
+    byte, so first byte of the block plus line number grows along a file, and the rank of the file
+    stands above it. Only file names are broadcast, so many at a time; rows of more files than that
+    are taken file range by file range. Rows are neither sorted nor shuffled.
+    """
+    spark = rows.sparkSession
+    if spark.conf.get(PACKED_BLOCKS, None):
+        raise ValueError(f"unset {PACKED_BLOCKS}: line numbers must start anew in each block")
+    if files is None:
+        files = [r["file"] for r in rows.select("file").distinct().toLocalIterator()]
+    files = sorted(files)
+    if len(files) >= 1 << (63 - FILE_BITS):
+        raise ValueError(f"{len(files)} files")
+    row_id = F.shiftleft(F.col("_rank"), FILE_BITS) + F.col("block") + F.col("line")
+
+    def numbered(low: int) -> DataFrame:
+        some = files[low : low + BROADCAST_FILES]
+        ranks = spark.createDataFrame(
+            [(name, low + i) for i, name in enumerate(some)], "_name string, _rank bigint"
+        ).select(plain_uri(F.col("_name")).alias("_name"), "_rank")
+        return (
+            rows.join(F.broadcast(ranks), plain_uri(F.col("file")) == F.col("_name"))
+            .withColumn("row_id", row_id)
+            .drop("_name", "_rank", *([] if keep_place else PLACE))
+        )
+
+    out = numbered(0)
+    for low in range(BROADCAST_FILES, len(files), BROADCAST_FILES):
+        out = out.unionByName(numbered(low))
+    return out
+
+
+def read_until(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    enough: int,
+    read: Callable[[list[str]], DataFrame],
+) -> DataFrame:
+    """What ``read`` makes of the first files that hold ``enough`` rows, in file order.
+
+    Files are read one, two, four and so on at a time, until they do: each once, what it gives is
+    staged. The files behind them are never opened.
     """
-    # One task, over one short row per block.
-    rank = F.row_number().over(Window.orderBy("file", "block")) - 1
-    blocks = rows.select("file", "block").distinct().withColumn("_rank", rank)
-    if blocks.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
-    row_id = F.shiftleft(F.col("_rank").cast("bigint"), LINE_BITS) + F.col("line")
-    return rows.join(blocks, ["file", "block"]).withColumn("row_id", row_id).drop(*PLACE, "_rank")
+    files, found, at, batch = scan_files(spark, path), [], 0, 1
+    n_found = 0
+    while at < len(files) and (n_found < enough or not found):
+        names = [unquote(name) for name in files[at : at + batch]]
+        found.append(stage(read(names), "first-files"))
+        n_found += found[-1].count()
+        at, batch = at + batch, batch * 2
+    if not found:
+        return read([path] if isinstance(path, str) else list(path))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def read_prompt_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnspool.operators.order import global_index, long_levels
+from turnspool.operators.order import nth_least
 from turnspool.sources.conversations import TRAIN, VALIDATION
 
-# Caps up to this many records are found by a top-k per split and broadcast (two short columns).
-SMALL_CAP = 100_000
-
 
 def assemble_splits(train: DataFrame, validation: DataFrame | None = None) -> DataFrame:
     """One table from one table per split; validation may be missing."""
@@ -23,21 +20,17 @@ def assemble_splits(train: DataFrame, validation: DataFrame | None = None) -> Da
 def cap_records(df: DataFrame, cap: int | None) -> DataFrame:
     """The first ``cap`` records of every split, in ``row_id`` order; none when ``cap`` <= 0.
 
-    The choice is made on ``(row_id, split)`` alone; the records are filtered by it in place.
+    The id of the last one is found on counts of ids (``nth_least``); the records themselves are
+    only filtered, where they are read. Ids are unique in a split; of equal ones all stay.
     """
     if cap is None:
         return df
     if cap <= 0:
         return df.limit(0)
-    ids = df.select("row_id", "split")
-    if cap <= SMALL_CAP:
-        first = [
-            ids.filter(F.col("split") == split).orderBy("row_id").limit(cap)
-            for split in (TRAIN, VALIDATION)
-        ]
-        kept = F.broadcast(first[0].unionByName(first[1]))
-    else:
-        row_id = F.col("row_id")
-        indexed = global_index(ids, order=[row_id], levels=long_levels(row_id), within=["split"])
-        kept = indexed.filter(F.col("idx") < cap).drop("idx")
-    return df.join(kept, ["row_id", "split"], "left_semi")
+    last = nth_least(df.select("row_id", "split"), "row_id", cap, within="split")
+
+    def inside(split: str) -> Column:
+        among = F.col("row_id") <= last[split] if split in last else F.lit(True)
+        return (F.col("split") == split) & among
+
+    return df.filter(inside(TRAIN) | inside(VALIDATION))

@@ -178,14 +178,19 @@ class TolerantScan:
 
     kept: DataFrame
     left_out: DataFrame
+    files: tuple[str, ...] = ()
 
     def records(self) -> DataFrame:
         return self.kept
 
     def messages(self) -> DataFrame:
         """``(messages, file, block, line)``; null messages where an object has none."""
+        return self.parsed().drop("text")
+
+    def parsed(self) -> DataFrame:
+        """The same with the text of each object."""
         parsed = F.from_json("text", CHAT_SCHEMA, WHOLE_STRINGS)
-        return self.kept.select(parsed["messages"].alias("messages"), *PLACE)
+        return self.kept.select(parsed["messages"].alias("messages"), *PLACE, "text")
 
     def rejects(self) -> DataFrame:
         return self.left_out
@@ -201,6 +206,7 @@ def read_tolerant(
     lines = spark.read.text(paths).select(
         "value", "_metadata.file_path", "_metadata.file_block_start"
     )
+    files = tuple(sorted(lines.inputFiles()))
     staged = fresh_path(spark, "tolerant-scan")
     lines.mapInArrow(scan_blocks, SCAN_SCHEMA).write.partitionBy("kind").parquet(staged)
     scan = spark.read.schema(SCAN_SCHEMA).parquet(staged)
@@ -208,7 +214,7 @@ def read_tolerant(
     left_out = scan.filter(F.col("kind") == REJECT).select(*PLACE, "text", "reason")
     fragments = scan.filter(F.col("kind") == FRAGMENT).select(*PLACE, "tail", "text", "depth")
     if fragments.isEmpty():
-        return TolerantScan(kept, left_out)
+        return TolerantScan(kept, left_out, files)
     blocks = scan.filter(F.col("kind") == BLOCK).select(
         "file", "block", "tail", "depth", "dead"
     )
@@ -217,6 +223,7 @@ def read_tolerant(
     return TolerantScan(
         kept.unionByName(joined.filter(complete).drop("reason")),
         left_out.unionByName(joined.filter(~complete)),
+        files,
     )
 
 
