@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnspool.functions.labels import IGNORE
-from turnspool.functions.template import CHATML, CHATML_TIGHT, ChatTemplate
+from turnspool.functions.pieces import UNK, PieceRule, split_pieces
+from turnspool.functions.template import CHATML, CHATML_TIGHT, ROLE_MARKS, ChatTemplate
 from turnspool.operators.encode import decode, encode
 from turnspool.operators.vocabulary import (
-    MAX_ENTRIES,
     Codec,
     fit_vocabulary,
     load_vocabulary,
+    most_frequent,
     save_vocabulary,
 )
 from turnspool.plans import prepare as prep
@@ -45,9 +46,7 @@ def codec(vocab):
     return Codec(vocab)
 
 
-@pytest.mark.parametrize("merged_rows", [4_000_000, 1])
-def test_vocabulary_order(spark, monkeypatch, merged_rows):
-    monkeypatch.setattr("turnspool.operators.vocabulary.MERGED_ROWS", merged_rows)
+def test_vocabulary_order(spark):
     df = texts_of(spark, ["b b a a c", "a<|im_end|> é"])
     rows = fit_vocabulary(df, F.col("text"), 4).orderBy("id").collect()
     assert [r["piece"] for r in rows] == [
@@ -58,18 +57,62 @@ def test_vocabulary_order(spark, monkeypatch, merged_rows):
     assert [r["is_special"] for r in rows] == [True] * 4 + [False] * 4
 
 
-@pytest.mark.parametrize("size", [1, 3, 40, 4000])
-def test_pruned_vocabulary_is_the_same(spark, turns, monkeypatch, size):
-    whole = prep.fit_on_train_turns(turns, size)
-    monkeypatch.setattr("turnspool.operators.vocabulary.MERGED_ROWS", 1)
-    pruned = prep.fit_on_train_turns(turns, size)
-    assert pruned.exceptAll(whole).count() == 0 and whole.exceptAll(pruned).count() == 0
+@pytest.mark.parametrize("size", [1, 3, 40, 41, 300, 4000])
+def test_the_most_frequent_pieces_with_ties_cut_by_text(spark, monkeypatch, size):
+    monkeypatch.setattr("turnspool.operators.order.FEW", 2)
+    rng = random.Random(9)
+    pieces = {"".join(rng.choices("abcé漢", k=rng.randint(1, 5))): rng.randint(1, 3) for _ in range(400)}
+    counts = spark.createDataFrame(list(pieces.items()), "piece string, n bigint")
+    want = sorted(pieces.items(), key=lambda p: (-p[1], p[0].encode()))[:size]
+    chosen = most_frequent(counts, size)
+    assert sorted(map(tuple, chosen.collect())) == sorted(want)
+    assert "TakeOrdered" not in chosen._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("size", [0, -1, MAX_ENTRIES])
-def test_vocabulary_size_is_bounded(spark, size):
+@pytest.mark.parametrize("size", [0, -1, 1 << 31])
+def test_vocabulary_size_is_checked(spark, monkeypatch, size):
     with pytest.raises(ValueError):
         fit_vocabulary(texts_of(spark, ["a"]), F.col("text"), size)
+    monkeypatch.setattr("turnspool.operators.vocabulary.MAX_BYTES", 30)
+    with pytest.raises(ValueError, match="bytes"):
+        Codec(fit_vocabulary(texts_of(spark, ["a"]), F.col("text"), 1))
+
+
+def test_long_runs_are_one_piece(spark):
+    text = "x" * 5000 + "1" * 300
+    vocab = fit_vocabulary(texts_of(spark, [text]), F.col("text"), 5)
+    learned = vocab.filter("id > 3").orderBy("id").select("piece").collect()
+    assert [r["piece"] for r in learned] == ["1" * 300, "x" * 5000]
+    codec = Codec(vocab)
+    ids = texts_of(spark, [text, "x"]).select(encode(F.col("text"), codec)).collect()
+    assert [r[0] for r in ids] == [[5, 4], [0]]
+
+
+def test_marks_are_data_of_the_vocabulary(spark, tmp_path):
+    """Longest first, regular expressions taken literally, also inside runs and with whitespace."""
+    rule = PieceRule((UNK, "[X]", "[X]+", "end", "a b", "7"))
+    text = "[X]+[X] bend a b17end.ab"
+    want = ["[X]+", "[X]", " ", "b", "end", " ", "a b", "1", "7", "end", ".", "ab"]
+    df = texts_of(spark, [text])
+    assert df.select(split_pieces(F.col("text"), rule)).first()[0] == want
+    path = str(tmp_path / "v")
+    save_vocabulary(fit_vocabulary(df, F.col("text"), 50, rule), path)
+    codec = Codec(load_vocabulary(spark, path), eos="end")
+    assert codec.rule == rule and codec.eos_id == 3
+    ids = encode(F.col("text"), codec)
+    assert df.select(F.slice(ids, 1, 2)).first()[0] == [2, 1]
+    assert df.select(decode(ids, codec)).first()[0] == " b 1.ab"
+    assert df.select(decode(ids, codec, False)).first()[0] == text
+
+
+def test_a_template_needs_a_vocabulary_with_its_marks(spark, turns, codec):
+    records = chat_records(turns, 50)
+    with pytest.raises(ValueError, match="marks"):
+        prep.prepare(records, codec, 50, ROLE_MARKS)
+    with pytest.raises(ValueError, match="marks"):
+        prep.prepare_by_marker(records, codec, "<|assistant|>", 50, ROLE_MARKS)
+    assert ROLE_MARKS.splits_at_messages
+    assert not ChatTemplate(after="\n", marks=(UNK, "a\nb")).splits_at_messages
 
 
 def test_turns_and_records_give_the_same_vocabulary(spark, turns, vocab):
@@ -91,7 +134,7 @@ def test_save_and_load(spark, vocab, tmp_path):
         [("<|unk|>", 0, True), ("a", 2, False)],
         [("<|unk|>", 0, True), ("<|unk|>", 1, False)],
         [("a", 0, False)],
-        [("<|unk|>", 0, True), ("a" * 65, 1, False)],
+        [("a", 0, True), ("<|unk|>", 1, True)],
     ],
 )
 def test_broken_vocabularies_are_refused(spark, rows):

@@ -7,35 +7,52 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from turnspool.functions.pieces import WHITESPACE, split_pieces
+from turnspool.functions.pieces import SPECIALS, UNK, WHITESPACE, PieceRule, split_pieces
 
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """``before role between content after`` per message, ``header`` opens a reply."""
+    """``before role between content after`` per message, ``header`` opens a reply; ``marks`` are
+    the special pieces of a vocabulary for it, in id order."""
 
     before: str = "<|im_start|>"
     between: str = "\n"
     after: str = "<|im_end|>\n"
     header: str = "<|im_start|>assistant\n"
+    marks: tuple[str, ...] = SPECIALS
 
     @property
-    def splits_at_messages(self) -> bool:
-        """True when no piece can reach over a message border.
+    def rule(self) -> PieceRule:
+        return PieceRule(self.marks)
+
+    def _splits_between(self, left: str, right: str) -> bool:
+        """Whether a piece can't reach over a border: a whitespace character there is enough, as it
+        is a piece of its own unless a mark holds one."""
+        white = left[-1:] in tuple(WHITESPACE) or right[:1] in tuple(WHITESPACE)
+        return white and self.rule.splits_whitespace
 
-        A whitespace character is always a piece of its own, so one at the border is enough.
-        """
-        return self.after[-1:] in tuple(WHITESPACE) or self.before[:1] in tuple(WHITESPACE)
+    @property
+    def splits_at_messages(self) -> bool:
+        """True when no piece can reach over a message border."""
+        return self._splits_between(self.after, self.before)
 
     @property
     def splits_at_header(self) -> bool:
         """The same for the border between the last message and the header."""
-        return self.after[-1:] in tuple(WHITESPACE) or self.header[:1] in tuple(WHITESPACE)
+        return self._splits_between(self.after, self.header)
 
 
 CHATML = ChatTemplate()
 # The same template without the last newline, so that a rendered text ends in the eos piece.
 CHATML_TIGHT = ChatTemplate(after="<|im_end|>")
+# Marks that name the role, and an end piece of its own.
+ROLE_MARKS = ChatTemplate(
+    before="<|",
+    between="|>\n",
+    after="</s>\n",
+    header="<|assistant|>\n",
+    marks=(UNK, "</s>", "<|system|>", "<|user|>", "<|assistant|>"),
+)
 
 
 def render_message(role: Column, content: Column, template: ChatTemplate = CHATML) -> Column:
@@ -66,7 +83,8 @@ def render_prompt(messages: Column, template: ChatTemplate = CHATML) -> Column:
 def split_messages(messages: Column, template: ChatTemplate = CHATML) -> Column:
     """``array<array<string>>``: the pieces of every rendered message."""
     return F.transform(
-        messages, lambda m: split_pieces(render_message(m["role"], m["content"], template))
+        messages,
+        lambda m: split_pieces(render_message(m["role"], m["content"], template), template.rule),
     )
 
 

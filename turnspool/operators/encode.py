@@ -33,7 +33,7 @@ def lookup_ids(pieces: Column, codec: Codec) -> Column:
 
 def encode(text: Column, codec: Codec, max_length: int | None = None) -> Column:
     """Ids of ``text``, cut to the first ``max_length``."""
-    return lookup_ids(truncate(split_pieces(text), max_length), codec)
+    return lookup_ids(truncate(split_pieces(text, codec.rule), max_length), codec)
 
 
 def truncate(pieces: Column, max_length: int | None) -> Column:

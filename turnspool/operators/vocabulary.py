@@ -9,70 +9,81 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnspool.functions.pieces import MAX_PIECE_CHARS, SPECIALS, TURN_END, UNK, split_pieces
+from turnspool.functions.pieces import CHATML_RULE, TURN_END, UNK, PieceRule, split_pieces
+from turnspool.operators.order import nth_least_text
+from turnspool.staging import stage
 
-# The table is broadcast, so its size is bounded: at most this many entries of at most
-# MAX_PIECE_CHARS characters (4 bytes each), 64 MiB in the worst case.
-MAX_ENTRIES = 262_144
-# A top-k merges up to this many rows in its last task without further ado.
-MERGED_ROWS = 4_000_000
+# A vocabulary is broadcast, so its size is measured first: all its pieces have no more bytes.
+MAX_BYTES = 256 << 20
 
 
-def count_pieces(texts: DataFrame, text: Column) -> DataFrame:
+def count_pieces(texts: DataFrame, text: Column, rule: PieceRule = CHATML_RULE) -> DataFrame:
     """``(piece, n)`` over all texts, special pieces left out.
 
     Counting is combined in every task before the shuffle, so a piece that makes up half of
     all text sends one row per task.
     """
     return (
-        texts.select(F.explode(split_pieces(text)).alias("piece"))
-        .filter(~F.col("piece").isin(list(SPECIALS)))
+        texts.select(F.explode(split_pieces(text, rule)).alias("piece"))
+        .filter(~F.col("piece").isin(list(rule.marks)))
         .groupBy("piece")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def least_count(counts: DataFrame, max_pieces: int) -> DataFrame:
-    """The largest ``n`` that at least ``max_pieces`` pieces reach, else 0, as one row.
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The ``size`` rows of ``(piece, n)`` with the greatest counts, ties by piece.
 
-    Runs on a histogram: one short row per distinct count.
+    No top-k: the least count that makes it is found on a histogram of counts, one short row per
+    distinct count, and of the pieces with just that count the last one by its first characters.
+    ``counts`` is read several times.
     """
     histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_pieces"))
     from_top = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
     reached = histogram.withColumn("_reached", F.sum("_pieces").over(from_top))
-    enough = F.max(F.when(F.col("_reached") >= max_pieces, F.col("n")))
-    return reached.agg(F.coalesce(enough, F.lit(0)).alias("n"))
-
-
-def fit_vocabulary(texts: DataFrame, text: Column, max_pieces: int) -> DataFrame:
-    """``(piece, id, n, is_special)``: the specials, then the ``max_pieces`` most frequent pieces."""
-    if not 1 <= max_pieces <= MAX_ENTRIES - len(SPECIALS):
-        raise ValueError(f"max_pieces must be 1 to {MAX_ENTRIES - len(SPECIALS)}, got {max_pieces}")
-    rank = (F.desc("n"), F.asc("piece"))
-    counts = count_pieces(texts, text)
-    # The top-k merges what every task sends in one task, up to max_pieces rows of each. Where that
-    # is many, a count below that of the last piece that can make it is not sent at all.
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if max_pieces * tasks > MERGED_ROWS:
-        counts = counts.filter(F.col("n") >= least_count(counts, max_pieces).scalar())
-    learned = (
-        counts.orderBy(*rank)
-        .limit(max_pieces)
-        # One task, over at most max_pieces rows.
-        .withColumn("id", F.row_number().over(Window.orderBy(*rank)) + len(SPECIALS) - 1)
-        .select("piece", "id", "n", F.lit(False).alias("is_special"))
+    border = (
+        reached.filter(F.col("_reached") >= size)
+        .agg(F.max_by(F.struct("n", "_pieces", "_reached"), "n").alias("at"))
+        .first()["at"]
+    )
+    if border is None or border["_reached"] == size:
+        return counts if border is None else counts.filter(F.col("n") >= border["n"])
+    ties = counts.filter(F.col("n") == border["n"])
+    missing = size - (border["_reached"] - border["_pieces"])
+    last = nth_least_text(ties, "piece", missing, border["_pieces"])
+    return counts.filter(
+        (F.col("n") > border["n"]) | ((F.col("n") == border["n"]) & (F.col("piece") <= last))
+    )
+
+
+def fit_vocabulary(
+    texts: DataFrame, text: Column, max_pieces: int, rule: PieceRule = CHATML_RULE
+) -> DataFrame:
+    """``(piece, id, n, is_special)``: the marks, then the ``max_pieces`` most frequent pieces.
+
+    Counts and result are staged: the choice looks at the counts several times, and whoever uses
+    a vocabulary measures it before it is fetched.
+    """
+    n_marks = len(rule.marks)
+    if not 1 <= max_pieces < (1 << 31) - n_marks:
+        raise ValueError(f"max_pieces must be positive and ids must fit an int, got {max_pieces}")
+    counts = stage(count_pieces(texts, text, rule), "piece-counts")
+    # One task, over the pieces that made it.
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "piece")) + n_marks - 1
+    learned = most_frequent(counts, max_pieces).select(
+        "piece", rank.alias("id"), "n", F.lit(False).alias("is_special")
     )
     entries = [
         F.struct(
-            F.lit(piece).alias("piece"),
+            F.lit(mark).alias("piece"),
             F.lit(i).alias("id"),
             F.lit(0).cast("bigint").alias("n"),
             F.lit(True).alias("is_special"),
         )
-        for i, piece in enumerate(SPECIALS)
+        for i, mark in enumerate(rule.marks)
     ]
     specials = texts.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
-    return specials.unionByName(learned)
+    return stage(specials.unionByName(learned), "vocabulary")
 
 
 def save_vocabulary(vocab: DataFrame, path: str) -> None:
@@ -96,28 +107,27 @@ class SpecialIds:
 
 
 class Codec:
-    """A vocabulary of checked size, ready to be used by tasks."""
+    """A vocabulary of checked size, ready to be used by tasks. Its special pieces, in id order, are
+    its piece rule."""
 
     def __init__(self, vocab: DataFrame, eos: str | None = TURN_END):
-        # Bounded by the check before it is used: at most one entry over the limit is fetched.
-        table = vocab.select("id", "piece", "is_special").orderBy("id").limit(MAX_ENTRIES + 1)
-        table = table.toArrow()
+        size = vocab.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
+        if size > MAX_BYTES:
+            raise ValueError(f"the vocabulary's pieces have {size} bytes, more than {MAX_BYTES}")
+        table = vocab.select("id", "piece", "is_special").orderBy("id").toArrow()
         pieces = table["piece"].combine_chunks()
         self.size = len(pieces)
-        if self.size > MAX_ENTRIES:
-            raise ValueError(f"vocabulary has more than {MAX_ENTRIES} entries")
         if not table["id"].combine_chunks().equals(pa.array(range(self.size), pa.int32())):
             raise ValueError("vocabulary ids must run from 0 without gaps")
         if pc.count_distinct(pieces).as_py() != self.size:
             raise ValueError("vocabulary holds a piece twice")
-        if (pc.max(pc.utf8_length(pieces)).as_py() or 0) > MAX_PIECE_CHARS:
-            raise ValueError(f"vocabulary holds a piece of over {MAX_PIECE_CHARS} characters")
         special = table.filter(pc.field("is_special"))
         self.special_ids = dict(zip(special["piece"].to_pylist(), special["id"].to_pylist()))
-        if UNK not in self.special_ids:
-            raise ValueError(f"vocabulary lacks {UNK}")
+        if next(iter(self.special_ids), None) != UNK:
+            raise ValueError(f"the first special piece of the vocabulary is not {UNK}")
         if eos is not None and eos not in self.special_ids:
             raise ValueError(f"{eos} is not a special piece of the vocabulary")
+        self.rule = PieceRule(tuple(self.special_ids))
         self.unk_id = self.special_ids[UNK]
         self.eos_id = None if eos is None else self.special_ids[eos]
         self.pieces = vocab.sparkSession.sparkContext.broadcast(pieces)

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from turnspool.functions import labels as masks
 from turnspool.functions.pieces import TURN_END, split_pieces
-from turnspool.functions.template import CHATML, CHATML_TIGHT, chat_prompt, render_chat
+from turnspool.functions.template import (
+    CHATML,
+    CHATML_TIGHT,
+    ROLE_MARKS,
+    chat_prompt,
+    render_chat,
+)
 from turnspool.operators import batches, reports
 from turnspool.operators.encode import decode, encode, lookup_ids, truncate
 from turnspool.operators.order import global_index, long_levels
@@ -39,6 +45,8 @@ SHORT_LENGTH = 64
 VOCABULARY = 2000
 SYSTEM_PROMPT = "You are a helpful assistant."
 MARKER = CHATML.header
+ROLE_MARKER = "<|assistant|>"
+TOKENS = ("input_ids", "attention_mask", "labels")
 SAMPLE = 20
 
 SEED = 17
@@ -80,6 +88,13 @@ def codec_of(spark: SparkSession, sf_dir: str) -> Codec:
     return Codec(vocabulary_of(spark, sf_dir))
 
 
+def role_codec(spark: SparkSession, sf_dir: str) -> Codec:
+    turns = spread(turns_of(spark, sf_dir), "conv_id", "turn")
+    path = fresh_path(spark, "vocabulary")
+    save_vocabulary(prep.fit_on_train_turns(turns, VOCABULARY, ROLE_MARKS), path)
+    return Codec(load_vocabulary(spark, path), ROLE_MARKS.marks[1])
+
+
 def prepared_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.prepare(records_of(spark, sf_dir), codec_of(spark, sf_dir), MAX_LENGTH)
 
@@ -374,6 +389,24 @@ def encoded_of(
     )
 
 
+@query
+def chat_prepare_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template whose marks name the role, with a vocabulary that has them as its special pieces."""
+    rows = prep.prepare_by_marker(
+        records_of(spark, sf_dir), role_codec(spark, sf_dir), ROLE_MARKER, MAX_LENGTH, ROLE_MARKS
+    )
+    return spell_arrays(rows, *TOKENS)
+
+
+@query
+def decode_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts back from ids, without the marks; the vocabulary is one that was saved and loaded."""
+    codec = role_codec(spark, sf_dir)
+    texts = prep.render_texts(records_of(spark, sf_dir), ROLE_MARKS)
+    ids = encode(F.col("text"), codec, MAX_LENGTH)
+    return texts.select("row_id", decode(ids, codec).alias("text"))
+
+
 @query
 def prompt_len(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prep.split_records(records_of(spark, sf_dir), MAX_LENGTH)
@@ -555,9 +588,6 @@ def positioned(rows: DataFrame, *columns: str) -> DataFrame:
     return spell_arrays(rows.join(indexed, ["row_id", "split"]).drop("row_id"), *columns)
 
 
-TOKENS = ("input_ids", "attention_mask", "labels")
-
-
 def prepared_files(spark: SparkSession, sf_dir: str, lines: Column, **options) -> DataFrame:
     folders = write_lines(chat_records(turns_of(spark, sf_dir)), lines, spark)
     rows, _ = prep.prepare_files(

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 PAT = (
     r"<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>"
-    r"|\p{L}{1,64}|\p{N}{1,64}|[ \t\r\n]|[^ \t\r\n\p{L}\p{N}]"
+    r"|\p{L}+|\p{N}+|[ \t\r\n]|[^ \t\r\n\p{L}\p{N}]"
+)
+ROLE_PAT = (
+    r"<\|system\|>|<\|user\|>|<\|assistant\|>|</s>"
+    r"|\p{L}+|\p{N}+|[ \t\r\n]|[^ \t\r\n\p{L}\p{N}]"
 )
 NL = "chr(10)"
 HEADER = f"'<|im_start|>assistant' || {NL}"
@@ -20,7 +24,8 @@ TURNS = f"""turns AS (
          CASE WHEN conv_id % 20 = 0 THEN 'validation' ELSE 'train' END AS split,
          max(turn) OVER (PARTITION BY conv_id) AS last_turn,
          '<|im_start|>' || role || {NL} || text || '<|im_end|>' AS tight,
-         '<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL} AS rendered
+         '<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL} AS rendered,
+         '<|' || role || '|>' || {NL} || text || '</s>' || {NL} AS by_role
   FROM conversations)"""
 
 SIZES = """sizes AS (
@@ -39,24 +44,33 @@ def texts(column: str = "rendered") -> str:
   FROM turns GROUP BY row_id, split)"""
 
 
-VOCAB = f"""vocab AS (
-  SELECT '<|unk|>' AS piece, 0 AS id, 0 AS n, true AS is_special
-  UNION ALL SELECT '<|im_start|>', 1, 0, true
-  UNION ALL SELECT '<|im_end|>', 2, 0, true
-  UNION ALL SELECT '<|endoftext|>', 3, 0, true
+MARKS = ("<|unk|>", "<|im_start|>", "<|im_end|>", "<|endoftext|>")
+ROLE_MARKS = ("<|unk|>", "</s>", "<|system|>", "<|user|>", "<|assistant|>")
+
+
+def vocab(marks: tuple[str, ...] = MARKS, column: str = "rendered", pattern: str = PAT) -> str:
+    specials = " UNION ALL ".join(
+        f"SELECT '{m}' AS piece, {i} AS id, 0 AS n, true AS is_special" for i, m in enumerate(marks)
+    )
+    return f"""vocab AS (
+  {specials}
   UNION ALL
-  SELECT piece, CAST(row_number() OVER (ORDER BY n DESC, piece) + 3 AS INTEGER), n, false
+  SELECT piece, CAST(row_number() OVER (ORDER BY n DESC, piece) + {len(marks) - 1} AS INTEGER), n,
+         false
   FROM (SELECT piece, count(*) AS n
-        FROM (SELECT unnest(regexp_extract_all(rendered, '{PAT}')) AS piece
+        FROM (SELECT unnest(regexp_extract_all({column}, '{pattern}')) AS piece
               FROM turns WHERE split = 'train')
-        WHERE piece NOT IN ('<|unk|>', '<|im_start|>', '<|im_end|>', '<|endoftext|>')
+        WHERE piece NOT IN {marks}
         GROUP BY piece ORDER BY n DESC, piece LIMIT 2000))"""
 
 
-def cut(limit: int | None = 1024) -> str:
+VOCAB = vocab()
+
+
+def cut(limit: int | None = 1024, pattern: str = PAT) -> str:
     """Pieces of the full text cut to ``limit``, and the capped prompt length."""
-    slice_ = f"regexp_extract_all(full_text, '{PAT}')"
-    prompt = f"len(regexp_extract_all(prompt_text, '{PAT}'))"
+    slice_ = f"regexp_extract_all(full_text, '{pattern}')"
+    prompt = f"len(regexp_extract_all(prompt_text, '{pattern}'))"
     return f"""cut AS (
   SELECT row_id, split, list_slice({slice_}, 1, {limit}) AS pieces,
          least({prompt}, len({slice_}), {limit}) AS prompt_len
@@ -116,6 +130,20 @@ labelled AS (
 
 BY_MARKER = with_(TURNS, texts(), VOCAB, cut(), ids_of("cut", "row_id"), ENCODED, MARKED)
 
+BY_ROLE = with_(
+    TURNS,
+    texts("by_role"),
+    vocab(ROLE_MARKS, "by_role", ROLE_PAT),
+    cut(pattern=ROLE_PAT),
+    ids_of("cut", "row_id"),
+    ENCODED,
+    """labelled AS (
+  SELECT row_id, split, ids, list_transform(ids, lambda x, i:
+    CASE WHEN i <= opened OR (i = len(ids) AND x = 1) THEN -100 ELSE x END) AS labels
+  FROM (SELECT *, coalesce(list_max(list_filter(range(1, len(ids) + 1), lambda i: ids[i] = 4)),
+                           len(ids)) AS opened FROM encoded))""",
+)
+
 ACTIVE = "CAST(len(list_filter(labels, lambda x: x <> -100)) AS BIGINT)"
 
 ROWS = f"""SELECT row_id, split, {joined('ids')} AS input_ids,
@@ -303,6 +331,11 @@ FROM batches GROUP BY step, epoch""",
     "resume_rows": with_(PLAN) + "SELECT row_id, epoch, step FROM plan WHERE step >= 3",
     "chat_prepare": labelled() + ROWS,
     "chat_prepare_marker": BY_MARKER + ROWS,
+    "chat_prepare_roles": BY_ROLE + ROWS,
+    "decode_roles": BY_ROLE
+    + """SELECT row_id, coalesce(string_agg(piece, '' ORDER BY pos)
+         FILTER (WHERE NOT coalesce(is_special, true)), '') AS text
+FROM places LEFT JOIN vocab USING (piece) GROUP BY row_id""",
     "chat_prepare_files": labelled() + POSITIONED,
     "chat_prepare_files_tolerant": BY_MARKER + POSITIONED,
     "chat_prepare_files_capped": labelled() + POSITIONED + " QUALIFY idx < 20",

@@ -11,7 +11,7 @@ from turnspool.functions.labels import (
     labels_by_length,
     labels_by_marker,
 )
-from turnspool.functions.pieces import split_pieces
+from turnspool.functions.pieces import TURN_END, split_pieces
 from turnspool.functions.template import (
     CHATML,
     ChatTemplate,
@@ -74,7 +74,7 @@ def fit_on_train_turns(turns: DataFrame, max_pieces: int, template: ChatTemplate
         raise ValueError("pieces of this template can reach over a message border")
     train = turn_rows(turns).filter(F.col("split") == TRAIN)
     return fit_vocabulary(
-        train, render_message(F.col("role"), F.col("content"), template), max_pieces
+        train, render_message(F.col("role"), F.col("content"), template), max_pieces, template.rule
     )
 
 
@@ -83,7 +83,15 @@ def fit_on_train_records(
 ) -> DataFrame:
     """The same from whole records."""
     train = records.filter(F.col("split") == TRAIN)
-    return fit_vocabulary(train, render_chat(F.col("messages"), template), max_pieces)
+    return fit_vocabulary(
+        train, render_chat(F.col("messages"), template), max_pieces, template.rule
+    )
+
+
+def checked(codec: Codec, template: ChatTemplate) -> Codec:
+    if codec.rule != template.rule:
+        raise ValueError("the vocabulary has other marks than the template")
+    return codec
 
 
 def split_records(
@@ -101,11 +109,11 @@ def split_records(
         pieces = F.flatten(parts)
         prompt_length = F.aggregate(
             all_but_last(parts), F.lit(0), lambda total, part: total + F.size(part)
-        ) + F.size(split_pieces(F.lit(template.header)))
+        ) + F.size(split_pieces(F.lit(template.header), template.rule))
     else:
         split = records
-        pieces = split_pieces(render_chat(messages, template))
-        prompt_length = F.size(split_pieces(render_prompt(messages, template)))
+        pieces = split_pieces(render_chat(messages, template), template.rule)
+        prompt_length = F.size(split_pieces(render_prompt(messages, template), template.rule))
     if max_length is not None:
         prompt_length = F.least(prompt_length, F.lit(max_length))
     return split.select(
@@ -133,7 +141,10 @@ def prepare(
 ) -> DataFrame:
     """Labels by length: what the prompt takes up is ignored. No shuffle."""
     encoded = split_records(usable_records(records, on_unusable), max_length, template).select(
-        "row_id", "split", lookup_ids(F.col("pieces"), codec).alias("input_ids"), "prompt_length"
+        "row_id",
+        "split",
+        lookup_ids(F.col("pieces"), checked(codec, template)).alias("input_ids"),
+        "prompt_length",
     )
     ids = F.col("input_ids")
     labels = labels_by_length(ids, F.col("prompt_length"), codec.eos_id)
@@ -152,7 +163,7 @@ def prepare_by_marker(
     texts = usable_records(records, on_unusable).select(
         "row_id", "split", render_chat(F.col("messages"), template).alias("text")
     )
-    return encode_with_marker(texts, codec, marker, max_length)
+    return encode_with_marker(texts, checked(codec, template), marker, max_length)
 
 
 def encode_with_marker(
@@ -208,6 +219,7 @@ def prepare_files(
     max_length: int | None = DEFAULT_MAX_LENGTH,
     marker: str | None = None,
     template: ChatTemplate = CHATML,
+    eos: str | None = TURN_END,
     tolerant: bool = False,
     cap: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
@@ -218,7 +230,8 @@ def prepare_files(
     """
     files = read_chat_files(spark, train, validation, tolerant, cap)
     if codec is None:
-        codec = Codec(fit_on_train_records(files.records, max_pieces, template))
+        vocabulary = fit_on_train_records(files.records, max_pieces, template)
+        codec = Codec(vocabulary, eos)
     if marker is None:
         rows = prepare(files.records, codec, max_length, template)
     else:
