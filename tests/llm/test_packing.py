@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from turnspool.llm import packing
+from tests.conftest import SF_DIR
+from turnspool.llm import packing, queries
 from turnspool.llm.queries import vocabulary_path
 from turnspool.llm.words import utf8
 
@@ -33,6 +34,36 @@ def reference_ids(texts):
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
+def ids_of(texts) -> list[list[int]]:
+    tokenizer = packing.ChunkTokenizer(vocabulary_path())
+    ids, ends = tokenizer.encode(*utf8(pa.array(texts, pa.string())))
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " " * 1_500_000 + "x",
+        "\n" * 1_000_000 + "  a",
+        " 　" * 500_000 + "é",
+        "a" * 1_500_000,
+        "=" * 1_500_000,
+        "x" + " " * 1_200_000,
+    ],
+    ids=lambda t: f"{t[:2]!r}",
+)
+def test_runs_of_a_million_characters(text):
+    assert ids_of([text]) == reference_ids([text])
+
+
+def test_long_runs_of_blanks_amid_other_text():
+    rng = random.Random(1)
+    parts = ["a", "x1", "　", "!", "é", "<|endoftext|>", "'s", " ", "\n" * 1100]
+    parts += [c * n for c in (" ", "\x1c", "\u200b", "\x85") for n in (999, 1000, 1001)]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(8))) for _ in range(300)]
+    assert ids_of(texts) == reference_ids(texts)
+
+
 def test_ids_are_those_of_the_tokenizer_library():
     rng = random.Random(7)
     alphabet = list("ab é世 \n\t'sX1.,- 　\U0001f600") + ["  ", " the", "<|endoftext|>"]
@@ -125,3 +156,28 @@ def test_pieces_and_sequences(spark):
 def test_no_documents_no_pieces(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack_documents(df, vocabulary_path()).count() == 0
+
+
+def test_the_query_packs_what_the_library_gives(spark):
+    """Every piece of every document, by the ids of the tokenizer's library."""
+    docs = {r["doc_id"]: r["text"] for r in queries.documents(spark, SF_DIR).collect()}
+    rows = queries.op7_best_fit_packing(spark, SF_DIR).collect()
+    by_doc, used = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert set(by_doc) == set(docs)
+    for (doc_id, text), ids in zip(docs.items(), reference_ids(docs.values())):
+        ids, at = np.array([*ids, 2], "<u4"), 0
+        for n, piece in enumerate(sorted(by_doc[doc_id], key=lambda r: r["piece"])):
+            own = ids[at : at + piece["length"]]
+            assert (piece["piece"], piece["start"]) == (n, at)
+            assert piece["ids_crc32"] == zlib.crc32(own.tobytes())
+            at += piece["length"]
+        assert at == len(ids)
+        assert len(by_doc[doc_id]) == -(-len(ids) // 1024)
+    for places in used.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(places)))
+        assert [a for a, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    total = sum(r["length"] for r in rows)
+    assert len(used) <= 1.02 * -(-total // 1024) + 1

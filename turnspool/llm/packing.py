@@ -13,14 +13,16 @@ What remains is packed by best fit, longest first. The plan is a short list of r
 one length with ranks from ``low`` to ``high`` go to consecutive bins at one offset. Ranks within a
 length are counted in blocks of rows, so a length that most pieces have is no hot spot.
 
-A null text is an empty one and gives one piece, the end id. Rows are told apart by their place, so
-repeated rows and ids, nulls and ties need no care; extra columns are carried, unless they are named
-like a result column. An empty table gives no pieces.
+A null text is an empty one and gives one piece, the end id. A text of any length and kind is
+tokenized whole, also where it is one run of blanks, letters or signs. Rows are told apart by their
+place, so repeated rows and ids, nulls and ties need no care; extra columns are carried, unless they
+are named like a result column. An empty table gives no pieces.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +39,9 @@ from turnspool.staging import stage
 # Fixed values of the public vocabulary.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL = {"<|endoftext|>": 50256}
+# What the pattern takes for a blank (the Unicode property White_Space).
+BLANKS = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+LONG_BLANKS = re.compile(f"[{BLANKS}]{{1000,}}")
 
 # Chunks that a task remembers; beyond that it starts over.
 MAX_KNOWN = 1 << 20
@@ -101,9 +106,17 @@ class ChunkTokenizer:
         self.count = np.concatenate([self.count, counts])[by_code]
 
     def _encode(self, raw: bytes) -> np.ndarray:
-        return np.array(
-            self.encoding.encode(raw.decode(), allowed_special="all"), np.int32
-        )
+        """Ids of a text. A long run of blanks is a piece of its own, but for its last one where
+        text follows; it is not left to the pattern, which would try it blank by blank."""
+        text, parts, at = raw.decode(), [], 0
+        for run in LONG_BLANKS.finditer(text):
+            ends = run.end() == len(text) or text.startswith(tuple(SPECIAL), run.end())
+            stop = run.end() - (not ends)
+            parts.append(self.encoding.encode(text[at : run.start()], allowed_special="all"))
+            parts.append(self.encoding._encode_single_piece(text[run.start() : stop]))
+            at = stop
+        parts.append(self.encoding.encode(text[at:], allowed_special="all"))
+        return np.concatenate([np.array(p, np.int32) for p in parts])
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, bounds of the rows in them)``."""
