@@ -103,27 +103,20 @@ def substrings(docs: list[tuple[int, str | None]], n: int = 13) -> dict[int, dic
 
 
 def lines(docs: list[tuple[int, str | None]], least: int = 2, chars: int = 40) -> dict[int, str]:
-    """doc_id to clean text."""
+    """doc_id to clean text: every run of lines is looked up among all earlier ones."""
     split = {d: t.split("\n") if t else [] for d, t in docs}
     seen: set = set()
-    starts = defaultdict(list)
+    gone = defaultdict(set)
     for d in sorted(split):
-        for i in range(len(split[d]) - least + 1):
-            run = tuple(split[d][i : i + least])
-            if run in seen:
-                starts[d].append(i)
-            seen.add(run)
-    out = {}
-    for d, text in docs:
-        gone: set = set()
-        runs: list[list[int]] = []
-        for i in starts[d]:
-            if runs and i <= runs[-1][1]:
-                runs[-1][1] = i + least
-            else:
-                runs.append([i, i + least])
-        for a, b in runs:
-            if sum(map(len, split[d][a:b])) >= chars:
-                gone.update(range(a, b))
-        out[d] = "\n".join(x for i, x in enumerate(split[d]) if i not in gone) if gone else text
-    return out
+        own = split[d]
+        for i in range(len(own)):
+            for j in range(i + least, len(own) + 1):
+                run = tuple(own[i:j])
+                if run in seen and sum(map(len, run)) >= chars:
+                    gone[d].update(range(i, j))
+            # Runs that start at a later line may equal one that starts here.
+            seen.update(tuple(own[i:j]) for j in range(i + least, len(own) + 1))
+    return {
+        d: "\n".join(x for i, x in enumerate(split[d]) if i not in gone[d]) if gone[d] else text
+        for d, text in docs
+    }

@@ -116,6 +116,40 @@ def test_longer_line_runs(table, docs, least):
     assert {d: r["clean_text"] for d, r in got.items()} == brute.lines(docs, least, 0)
 
 
+@pytest.mark.parametrize("least, chars", [(2, 40), (2, 6), (1, 0), (3, 9)])
+def test_line_runs_of_random_sequences(spark, least, chars):
+    """Few distinct lines, so that copies overlap, nest, touch and repeat inside a text."""
+    rng = random.Random(10 * least + chars)
+    docs = []
+    for d in range(160):
+        kinds = rng.choice([["x"], ["ab", "c", ""], list("abcdefgh"), ["a longer line", "b", "cc"]])
+        text = [rng.choice(kinds) for _ in range(rng.randrange(1, 24))]
+        if docs and rng.random() < 0.5:
+            other = (rng.choice(docs)[1] or "").split("\n")
+            at = rng.randrange(len(other))
+            text[rng.randrange(len(text)) :] = other[at : at + rng.randrange(1, 20)]
+        odd = [None, "", docs[0][1] if docs else None]
+        docs.append((d, "\n".join(text) if rng.random() > 0.05 else rng.choice(odd)))
+    table = spark.createDataFrame(docs, SCHEMA)
+    got = by_id(line_dedup.dedup_lines(table, min_lines=least, min_chars=chars))
+    assert {d: r["clean_text"] for d, r in got.items()} == brute.lines(docs, least, chars)
+    for d, text in docs:
+        row, lines = got[d], (text or "").split("\n") if text else []
+        gone = sum(r["end"] - r["start"] for r in row["deleted"])
+        assert row["n_lines"] == len(lines) and row["n_deleted_lines"] == gone
+
+
+def test_runs_that_touch_are_not_one_run(spark):
+    a, b = ["first short", "line pair"], ["other short", "two lines"]
+    long = [f"a much longer line, number {i}" for i in range(3)]
+    docs = [(1, a), (2, b), (3, a + b), (4, long + a), (5, b + long), (6, ["z", *a])]
+    docs = [(d, "\n".join(x)) for d, x in docs]
+    got = by_id(line_dedup.dedup_lines(spark.createDataFrame(docs, SCHEMA)))
+    # Neither pair has 40 characters; only the three long lines are a copy.
+    assert {d: r["n_deleted_lines"] for d, r in got.items()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 3, 6: 0}
+    assert got[5]["clean_text"] == "\n".join(b)
+
+
 ITEMS = [
     ("7", "Alpha beta, gamma! delta epsilon zeta eta theta iota kappa lambda mu"),
     ("10", "short item"),

@@ -1,123 +1,258 @@
-"""Line deduplication with a suffix array over the line-id sequences of all texts.
-
-Every text is a sequence of line ids (two hashes of the line). The suffixes that start at a line are
-ranked by distributed prefix doubling: a rank by the first h lines and the rank of the suffix h
-lines further on give the rank by 2h lines. A rank is the id of the first line and a number among
-the suffixes that start with it, so no global numbering is needed. Suffixes whose rank is unique are
-settled and leave. Suffixes in one class by their first m lines are an interval of the suffix array
-whose longest common prefix is at least m; all members but the earliest (by order column, then line)
-start a later copy of m lines. Later copies that touch are one maximal run, and runs that hold at
-least ``min_chars`` characters are deleted.
-
-Lines are compared as they are, blank ones too. Null and empty texts have no lines. A null id comes
+"""Line deduplication by the suffixes of all texts' line sequences.
+
+A run of lines is a later copy if the same lines also start at an earlier place (order column, then
+line). Every line goes that lies in a later copy of at least ``min_lines`` lines with at least
+``min_chars`` characters; that is, for every suffix, the longest run at its start that is a later
+copy decides. Runs from different sources that happen to touch are not one run.
+
+Prefix doubling ranks a suffix by its first lines: the rank by 2h lines is made of the rank by h lines
+and that of the suffix h lines on. Ranks are hashes here, so a text doubles its own without a
+shuffle. Suffixes that share their first l lines are an interval of the suffix array whose longest
+common prefix is l or more. The intervals are refined from long steps to short ones, as in a binary
+search for the common prefix: suffixes of an interval that also share the next h lines are an
+interval of their own. All its members but the earliest have an earlier one beside them, so they
+leave the old interval and stand in the new one; the earliest stays in the old one for all of them,
+and is also put into the new one. So after the step h = 1 every suffix stands in the interval of its
+longest later copy, and no step has more than two rows for a suffix.
+
+Which interval continues is found by counts and minima that are combined before they are shuffled;
+rows go back to their texts by a join that is split where a key is hot. A text that equals an earlier
+one is a later copy as a whole and needs no suffixes, so groups of copies weigh one text.
+
+Lines are compared by two hashes, blank lines too. Null and empty texts have no lines. A null id comes
 after all others. Rows are told apart by id and text, so repeated rows are one text and stay
-together; which of them to keep is the business of document deduplication. A text that loses all
-lines is empty. Extra columns stay; the result columns replace columns of their names.
+together; which of them to keep is the business of document deduplication. Rows of one id with other
+texts are ordered by a hash of the text. A text that loses all lines is empty. A text of any length is
+one row of a task; its lines take some hundred bytes each. Extra columns stay; the result columns
+replace columns of their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnspool.llm.plans import computed_once
+from turnspool.llm.words import mix
 from turnspool.staging import stage
 
 MIN_LINES = 2
 MIN_CHARS = 40
 LAST = (1 << 63) - 1
+FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
+# One list per text: the suffix's line, the lines it shares, its interval, and whether it has an
+# earlier one there or stands for others only.
+MEMBERS = (
+    "line array<int>, shared array<int>, n1 array<bigint>, n2 array<bigint>, copy array<boolean>"
+)
+STATE = f"at bigint, key bigint, n int, a array<bigint>, b array<bigint>, {MEMBERS}"
+CANDIDATES = "k1 bigint, k2 bigint, at bigint, key bigint, line int, member int"
 
-def line_rows(texts: DataFrame) -> DataFrame:
-    """``(at, key, line, a, b)`` from ``(at, key, text)``, once for repeated rows."""
-    lines = texts.select("at", "key", F.posexplode(F.split("text", "\n")).alias("line", "l"))
-    ids = F.xxhash64("l").alias("a"), F.xxhash64(F.lit(1), "l").alias("b")
-    return lines.select("at", "key", "line", *ids).distinct()
 
+def prefix_ranks(lines: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
+    """A hash of ``length`` lines for each start at which so many follow, by doubling."""
+    rank, size = lines, 1
+    for bit in bin(length)[3:]:
+        n = max(0, len(rank) - size)
+        rank = mix(rank[:n] * factor + mix(rank[size : size + n]))
+        size *= 2
+        if bit == "1":
+            n = max(0, len(lines) - size)
+            rank = mix(rank[:n] * factor + mix(lines[size : size + n]))
+            size += 1
+    return rank
 
-def repeated_only(rows: DataFrame, *ids: str) -> DataFrame:
-    """The rows whose ids are not unique; counts are combined before they move."""
-    often = rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    return rows.join(often, list(ids), "left_semi")
 
+def _numpy(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy(zero_copy_only=False)
 
-def ranked_by_pair(rows: DataFrame, second: list[str]) -> DataFrame:
-    """Refine ``rank`` within ``(a, b)`` by the second key; its members keep their order.
 
-    Only the distinct pairs of a class are numbered, not its members.
-    """
-    pairs = rows.groupBy("a", "b", "rank", *second).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("a", "b", "rank")
-        .orderBy(*second)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    numbered = pairs.withColumn(
-        "_next", F.col("rank") + F.coalesce(F.sum("_n").over(before), F.lit(0))
-    )
-    return (
-        rows.join(numbered.drop("_n"), ["a", "b", "rank", *second])
-        .drop("rank", *second)
-        .withColumnRenamed("_next", "rank")
-    )
+def emit_candidates(step: int | None, least: int):
+    """Each suffix with the interval that it would be in by ``step`` lines more; first of all, with
+    that of its first ``least`` lines."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+            place = [batch.column(c).to_numpy() for c in ("at", "key")]
+            for r in range(batch.num_rows):
+                lines = [_numpy(batch.column(c), r).view(np.uint64) for c in ("a", "b")]
+                if step is None:
+                    keys = [prefix_ranks(x, least, f) for x, f in zip(lines, FACTORS)]
+                    line = member = np.arange(len(keys[0]))
+                else:
+                    line, shared, *node = (
+                        _numpy(batch.column(c), r) for c in ("line", "shared", "n1", "n2")
+                    )
+                    ranks = [prefix_ranks(x, step, f) for x, f in zip(lines, FACTORS)]
+                    member = np.flatnonzero(line + shared < len(ranks[0]))
+                    on = (line + shared)[member]
+                    keys = [
+                        mix(n.view(np.uint64)[member] * f + mix(rank[on]))
+                        for n, rank, f in zip(node, ranks, FACTORS)
+                    ]
+                    line = line[member]
+                columns = [*(k.view(np.int64) for k in keys)]
+                columns += [np.full(len(line), p[r]) for p in place] + [line, member]
+                for part, column in zip(parts, columns):
+                    part.append(column)
+            types = [pa.int64()] * 4 + [pa.int32()] * 2
+            names = [c.split()[0] for c in CANDIDATES.split(", ")]
+            if batch.num_rows:
+                arrays = [pa.array(np.concatenate(p), t) for p, t in zip(parts, types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-def suffix_classes(lines: DataFrame, least: int) -> DataFrame:
-    """``(at, key, line, a, b, rank)`` of the suffixes that share their first ``least`` lines with
-    another; equal ``(a, b, rank)`` means an equal prefix of that length.
+    return run
 
-    A settled suffix is alone in its class. It is missing as a second key too, and that is right:
-    nothing that would be compared by it can still have an equal.
-    """
-    live = stage(
-        repeated_only(lines, "a", "b").withColumn("rank", F.lit(0).cast("bigint")),
-        "suffixes",
+
+def emit_state(step: int | None, least: int):
+    """Texts with their suffixes after a step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for r in range(batch.num_rows):
+                moves = batch.column("moves")[r].values
+                found = []
+                if moves is not None:
+                    found = [
+                        moves.field(c).to_numpy(zero_copy_only=False)
+                        for c in ("member", "k1", "k2", "holds")
+                    ]
+                if step is None:
+                    member, k1, k2, holds = found
+                    new = [member, np.full(len(member), least), k1, k2, ~holds]
+                else:
+                    new = [_numpy(batch.column(c), r) for c in ("line", "shared", "n1", "n2", "copy")]
+                    if found:
+                        member, k1, k2, holds = found
+                        line, shared, n1, n2, copy = (x.copy() for x in new)
+                        more = [line[member[holds]], shared[member[holds]] + step]
+                        more += [k1[holds], k2[holds], np.zeros(holds.sum(), bool)]
+                        gone = member[~holds]
+                        shared[gone] += step
+                        n1[gone], n2[gone] = k1[~holds], k2[~holds]
+                        copy[gone] = True
+                        new = [
+                            np.concatenate(pair) for pair in zip((line, shared, n1, n2, copy), more)
+                        ]
+                for part, column in zip(lists, new):
+                    part.append(column)
+            offsets = np.append(0, np.cumsum([len(x) for x in lists[0]])).astype(np.int32)
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            columns = [batch.column(c) for c in ("at", "key", "n", "a", "b")]
+            for part, kind in zip(lists, types):
+                values = np.concatenate(part) if part else np.zeros(0, np.int64)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind)))
+            names = [c.split()[0] for c in STATE.split(", ")]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def refined(state: DataFrame, step: int | None, least: int) -> DataFrame:
+    """One step for all intervals. First, texts without suffixes of an interval drop out."""
+    candidates = state.mapInArrow(emit_candidates(step, least), CANDIDATES)
+    place = F.struct("at", "key", "line")
+    intervals = (
+        candidates.groupBy("k1", "k2")
+        .agg(F.count(F.lit(1)).alias("size"), F.min(place).alias("first"))
+        .filter(F.col("size") > 1)
     )
-    h = 1
-    while h < least:
-        step = min(h, least - h)
-        ahead = live.select(
-            F.col("key").alias("k2"),
-            F.col("at").alias("at2"),
-            (F.col("line") - step).alias("line2"),
-            F.col("a").alias("a2"),
-            F.col("b").alias("b2"),
-            F.col("rank").alias("rank2"),
+    moves = (
+        candidates.join(intervals, ["k1", "k2"])
+        .groupBy("at", "key")
+        .agg(
+            F.collect_list(
+                F.struct("member", "k1", "k2", (place == F.col("first")).alias("holds"))
+            ).alias("moves")
         )
-        # A suffix without a live second part ends or differs within h + step lines.
-        paired = live.join(
-            ahead,
-            (F.col("key") == F.col("k2")) & (F.col("at") == F.col("at2"))
-            & (F.col("line") == F.col("line2")),
-        ).drop("k2", "at2", "line2")
-        refined = ranked_by_pair(paired, ["a2", "b2", "rank2"])
-        live = stage(repeated_only(refined, "a", "b", "rank"), "suffixes")
-        h += step
-    return live
-
-
-def later_copies(classes: DataFrame) -> DataFrame:
-    """The starts ``(at, key, line)`` of all members of a class but its earliest."""
-    place = F.struct("at", "key", "line")
-    earliest = classes.groupBy("a", "b", "rank").agg(F.min(place).alias("first"))
-    return (
-        classes.join(earliest, ["a", "b", "rank"])
-        .filter(place != F.col("first"))
-        .select("at", "key", "line")
     )
+    joined = state.join(moves, ["at", "key"], "inner" if step is None else "left")
+    return stage(joined.mapInArrow(emit_state(step, least), STATE), "line-suffixes")
 
 
-def later_runs(starts: DataFrame, least: int) -> DataFrame:
-    """``(at, key, runs)``: maximal runs of lines of later copies, as (start, end)."""
-    by_line = Window.partitionBy("at", "key").orderBy("line")
-    gap = F.coalesce(F.col("line") - F.lag("line").over(by_line) > least, F.lit(True))
-    return (
-        starts.withColumn("run", F.sum(gap.cast("int")).over(by_line))
-        .groupBy("at", "key", "run")
-        .agg(F.min("line").alias("start"), (F.max("line") + least).alias("end"))
-        .groupBy("at", "key")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
+def later_copies(docs: DataFrame, least: int) -> DataFrame:
+    """``(at, key, line, shared)``: suffixes of texts and how many lines of them are a later copy."""
+    longest = docs.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    first = refined(docs, None, least)
+    live = first.filter("false")
+    for bit in reversed(range(max(0, longest - least).bit_length())):
+        # A text takes part from the first step on that fits behind the lines a suffix shares.
+        room = F.col("n") - least
+        entering = first.filter((room >= 1 << bit) & (room < 2 << bit))
+        live = refined(live.unionByName(entering), 1 << bit, least)
+    members = first.filter(F.col("n") == least).unionByName(live)
+    each = members.select(
+        "at", "key", F.explode(F.arrays_zip("line", "shared", "copy")).alias("m")
     )
+    return each.filter("m.copy").select("at", "key", "m.line", "m.shared")
+
+
+FOUND = (
+    "clean_text string, n_lines bigint, n_deleted_lines bigint, "
+    "deleted array<struct<start: int, end: int>>"
+)
+
+
+def clean_udf(least: int, chars: int):
+    """What is left of texts without their later copies: linear in lines and copies."""
+
+    def cleaned(text: str, whole: bool, line: np.ndarray, shared: np.ndarray) -> tuple:
+        lines = text.split("\n") if text else []
+        n = len(lines)
+        upto = np.append(0, np.cumsum([len(x) for x in lines])).astype(np.int64)
+        if whole:
+            line, shared = np.zeros(1, np.int64), np.full(1, n)
+        long = (shared >= least) & (upto[line + shared] - upto[line] >= chars)
+        depth = np.bincount(line[long], minlength=n + 1).astype(np.int64)
+        depth -= np.bincount((line + shared)[long], minlength=n + 1)
+        gone = np.cumsum(depth)[:n] > 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
+        if not len(edges):
+            return text, n, 0, []
+        left = "\n".join(x for x, g in zip(lines, gone) if not g)
+        runs = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
+        return left, n, int(gone.sum()), runs
+
+    def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for texts, whole, line, shared in columns:
+            rows = []
+            for r, text in enumerate(texts.to_pylist()):
+                lists = [
+                    np.zeros(0, np.int64) if c[r].values is None else _numpy(c, r).astype(np.int64)
+                    for c in (line, shared)
+                ]
+                found = cleaned(text or "", whole[r].as_py(), *lists)
+                rows.append((text if not found[3] else found[0], *found[1:]))
+            names = ("clean_text", "n_lines", "n_deleted_lines", "deleted")
+            yield pa.array([dict(zip(names, r)) for r in rows], TYPE)
+
+    return F.arrow_udf(run, FOUND)
+
+
+RUN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+TYPE = pa.struct(
+    [
+        ("clean_text", pa.string()),
+        ("n_lines", pa.int64()),
+        ("n_deleted_lines", pa.int64()),
+        ("deleted", pa.list_(RUN)),
+    ]
+)
+
+
+def originals(texts: DataFrame) -> DataFrame:
+    """``(at, key, whole)`` of all texts, once; ``whole`` where an earlier text is equal."""
+    length = F.octet_length("text").alias("length")
+    lean = texts.select("at", "key", F.xxhash64(F.lit(1), "text").alias("key2"), length).distinct()
+    same = ["key", "key2", "length"]
+    first = lean.groupBy(*same).agg(F.min("at").alias("first"))
+    return lean.join(first, same).select("at", "key", (F.col("at") > F.col("first")).alias("whole"))
 
 
 def dedup_lines(
@@ -127,50 +262,41 @@ def dedup_lines(
     min_lines: int = MIN_LINES,
     min_chars: int = MIN_CHARS,
 ) -> DataFrame:
-    """``df`` with ``clean_text``, ``n_lines``, ``n_deleted_lines`` and ``deleted`` runs."""
+    """``df`` with ``clean_text``, ``n_lines``, ``n_deleted_lines`` and ``deleted`` runs of lines."""
     results = ("clean_text", "n_lines", "n_deleted_lines", "deleted")
     text = F.col(f"`{text_col}`")
     texts = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in results]).alias("row"),
+        F.struct(
+            F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in df.columns if c not in results]
+        ).alias("row"),
         F.coalesce(F.col(f"`{order_col}`").cast("bigint"), F.lit(LAST)).alias("at"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"),
         text.alias("text"),
     )
-    lines = line_rows(texts.filter(F.length("text") > 0))
-    runs = later_runs(later_copies(suffix_classes(lines, min_lines)), min_lines)
-    joined = texts.join(runs, ["at", "key"], "left")
-    split = F.when(F.length("text") > 0, F.split("text", "\n")).otherwise(
-        F.array().cast("array<string>")
-    )
-
-    def chars(run: Column) -> Column:
-        part = F.slice(F.col("lines"), run["start"] + 1, run["end"] - run["start"])
-        return F.length(F.array_join(part, "")) >= min_chars
-
-    held = joined.select(
-        "row", "text", F.coalesce(split, F.array().cast("array<string>")).alias("lines"), "runs"
-    ).select(
-        "row",
-        "text",
-        "lines",
-        F.coalesce(
-            F.filter("runs", chars), F.array().cast("array<struct<start:int,end:int>>")
-        ).alias("deleted"),
-    )
-    left = F.filter(
-        "lines",
-        lambda _, i: ~F.exists("deleted", lambda r: (i >= r["start"]) & (i < r["end"])),
+    filled = texts.filter(F.length("text") > 0)
+    known = stage(originals(filled), "line-texts")
+    split = F.split("text", "\n")
+    docs = (
+        filled.withColumn("n", F.size(split))
+        .filter(F.col("n") >= min_lines)
+        .join(known.filter(~F.col("whole")), ["at", "key"])
+        .select(
+            "at",
+            "key",
+            "n",
+            F.transform(split, lambda x: F.xxhash64(x)).alias("a"),
+            F.transform(split, lambda x: F.xxhash64(F.lit(1), x)).alias("b"),
+        )
+        .dropDuplicates(["at", "key"])
     )
-    gone = F.aggregate(
-        "deleted", F.lit(0), lambda n, r: n + r["end"] - r["start"]
+    copies = later_copies(stage(docs, "line-hashes"), min_lines)
+    listed = copies.groupBy("at", "key").agg(
+        F.collect_list(F.struct("line", "shared")).alias("copies")
     )
-    result = held.select(
-        "row.*",
-        F.when(F.size("deleted") == 0, F.col("text"))
-        .otherwise(F.array_join(left, "\n"))
-        .alias("clean_text"),
-        F.size("lines").cast("bigint").alias("n_lines"),
-        gone.cast("bigint").alias("n_deleted_lines"),
-        "deleted",
+    found = known.join(listed, ["at", "key"], "left")
+    joined = texts.join(found, ["at", "key"], "left")
+    whole = F.coalesce("whole", F.lit(False))
+    left = clean_udf(min_lines, min_chars)(
+        "text", whole, F.col("copies.line"), F.col("copies.shared")
     )
-    return computed_once(result)
+    return joined.select("row", left.alias("left")).select("row.*", "left.*").drop("_")

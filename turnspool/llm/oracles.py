@@ -168,22 +168,19 @@ LINES_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
   CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS l
   FROM documents),
-x AS (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d WHERE len(l) > 1),
-w AS (SELECT doc_id, i, l[i] AS a, l[i + 1] AS b FROM x),
+starts AS (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d WHERE len(l) > 1),
+runs AS (SELECT doc_id, l, i, unnest(range(i + 1, len(l) + 1)) AS j FROM starts),
 later AS (
-  SELECT doc_id, i FROM (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS k FROM w)
-  WHERE k > 1),
-runs AS (
-  SELECT doc_id, min(i) - 1 AS start, max(i) + 1 AS stop FROM (
-    SELECT *, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
-      SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 2 THEN 0 ELSE 1 END
-        AS gap FROM later))
-  GROUP BY doc_id, run),
-long AS (
-  SELECT doc_id, list({{'a': start, 'b': stop}} ORDER BY start) AS r
-  FROM runs JOIN d USING (doc_id)
-  WHERE length(array_to_string(l[start + 1:stop], '')) >= {line_dedup.MIN_CHARS} GROUP BY doc_id)
+  SELECT doc_id, i, j FROM runs
+  QUALIFY row_number() OVER (
+    PARTITION BY array_to_string(l[i:j], chr(10)), j - i ORDER BY doc_id, i) > 1
+    AND length(array_to_string(l[i:j], '')) >= {line_dedup.MIN_CHARS}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS k FROM later),
+spans AS (
+  SELECT doc_id, min(k) - 1 AS a, max(k) AS b FROM (
+    SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS span FROM gone)
+  GROUP BY doc_id, span),
+long AS (SELECT doc_id, list({{'a': a, 'b': b}} ORDER BY a) AS r FROM spans GROUP BY doc_id)
 SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines,
   CAST(coalesce(list_sum(list_transform(r, lambda q: q.b - q.a)), 0) AS BIGINT) AS n_deleted_lines,
   coalesce(array_to_string(list_transform(r, lambda q: q.a || ':' || q.b), ','), '') AS deleted,
