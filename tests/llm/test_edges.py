@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -96,8 +97,16 @@ def test_substrings_of_odd_rows(odd):
 
 
 def test_pipeline_stages_on_odd_rows(spark, odd):
-    docs = odd.select("doc_id", "text", "row", "kept")
+    """Columns named like results, helpers and with a dot keep their values in every stage."""
+    names = [*NAMES, "n_words", "n_lines", "n_deleted_lines", "deleted", "_id", "_hash", "_nth", "_"]
+    names = [n for n in dict.fromkeys(names) if n not in ("doc_id", "text")] + ["a.b", "keeper"]
+    extra = [F.concat(F.lit(f"{n}:"), F.xxhash64("text")).alias(n) for n in names]
+    docs = odd.select("doc_id", "text", *extra)
+    before = {tuple(r[2:]) for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, docs, "/root/testdata/sf0.001")
         assert got.columns == docs.columns, name
+        rows = got.collect()
+        assert {tuple(r[2:]) for r in rows} <= before, name
+        assert rows or name == "quality_rules"
         assert stage(spark, docs.filter("false"), "/root/testdata/sf0.001").count() == 0, name
