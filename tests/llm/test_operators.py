@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from turnspool.llm import (
@@ -150,6 +151,45 @@ def test_runs_that_touch_are_not_one_run(spark):
     assert got[5]["clean_text"] == "\n".join(b)
 
 
+# Letters of a script and the signs that its sentences end with.
+SCRIPTS = {
+    "chinese": ("我你他的是了在有人这中大来上国个到说们为子", ["。", "！", "？", "」", "；"]),
+    "hindi": ("कखगघचछजझटठडढणतथदधनपफबभमयरलव", ["।", "?", "॥"]),
+    "arabic": ("ابتثجحخدذرزسشصضطظعغفقكلمنهوي", [".", "؟", "؛"]),
+    "urdu": ("ابپتٹثجچحخدڈذرڑزژسشصضطظعغفقکگ", ["۔", "؟"]),
+    "thai": ("กขคงจฉชซญดตถทนบปผพฟมยรลวสหอ", ["", "ๆ"]),
+    "amharic": ("ሀለሐመሠረሰሸቀበተቸኀነኘአከኸወዐዘ", ["።", "፧"]),
+}
+
+
+def test_prose_of_other_scripts_is_kept(spark):
+    rng = random.Random(4)
+
+    def line(letters: str, ends: list[str]) -> str:
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(9)]
+        end = rng.choice(ends)
+        return " ".join(words) + ("。」" if end == "」" else end)
+
+    rows = [
+        (k, "\n".join(line(*script) for _ in range(30))) for k, script in enumerate(SCRIPTS.values())
+    ]
+    for row in quality.line_first_cleaning(spark.createDataFrame(rows, SCHEMA)).collect():
+        name = list(SCRIPTS)[row["doc_id"]]
+        assert row["kept"] and row["clean_text"] == rows[row["doc_id"]][1], name
+
+
+def test_sentence_ends_are_those_of_the_pattern(spark):
+    rng = random.Random(6)
+    signs = list("a.!:;…\"'”)] \t\r」。।؟۔ขក｡）x") + ["", "\n"]
+    lines = ["".join(rng.choices(signs, k=rng.randrange(6))) for _ in range(3000)]
+    table = spark.createDataFrame([(x,) for x in lines], "l string")
+    both = table.select(
+        quality.ends_sentence(F.col("l")).alias("a"),
+        F.col("l").rlike(quality.SENTENCE_END).alias("b"),
+    )
+    assert both.filter("a <> b").count() == 0 and both.filter("a").count() > 500
+
+
 ITEMS = [
     ("7", "Alpha beta, gamma! delta epsilon zeta eta theta iota kappa lambda mu"),
     ("10", "short item"),

@@ -7,7 +7,8 @@ spacing. A document is rejected when its words are too few, when repeated word t
 many of them, or when its lines lost too much of their text.
 
 A null text has no words, keeps a null clean text and is rejected, as an empty one is. Rows are
-judged one by one, so repeated rows, nulls in other columns and an empty table need no care; extra
+judged one by one, so ties, repeated rows, nulls in other columns and an empty table need no care. A
+text of any length is taken whole, as an array of its lines. Extra
 columns stay, unless they are named like a result column, which then replaces them. Every
 expression is a built-in function.
 """
@@ -27,7 +28,16 @@ MIN_LEFT_PERCENT = 50
 RUN = 3
 
 # What a line is judged by. The patterns mean the same in Java and RE2.
-SENTENCE_END = r"[.!?:;…][\"'”’»)\]]*[ \t\r]*\z"
+# Sentence terminals of the scripts that have them, with colons and semicolons; then scripts that end
+# sentences without a sign (Thai, Lao, Tibetan, Burmese; Khmer).
+TERMINALS = ".!?:;…։؛؞؟۔܀܁܂߹।॥၊။።፤፥፦፧፨᙮᠃᠉᥄᥅‼‽⁇⁈⁉⸮。︒﹒﹔﹕﹖﹗！．：；？｡"
+UNSIGNED = (("\u0e00", "\u109f"), ("\u1780", "\u17ff"))
+CLOSING = "\"'”’»)]」』）】》〉］｝＂＇"
+BLANK = " \t\r"
+SENTENCE_END = (
+    f"[{TERMINALS}{''.join(f'{a}-{b}' for a, b in UNSIGNED)}]"
+    rf"[{CLOSING.replace(']', chr(92) + ']')}]*[{BLANK}]*\z"
+)
 NOISE = r"(?:[#*$%&!]{2,}[^#*$%&!]+){3}"
 NAVIGATION = (
     r"\|[^|]*\||»[^»]*»|•[^•]*•"
@@ -52,8 +62,18 @@ def without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
+def ends_sentence(line: Column) -> Column:
+    """``SENTENCE_END``, by the last character that is no closing sign."""
+    bare = F.rtrim(F.rtrim(line, F.lit(BLANK)), F.lit(CLOSING))
+    last = F.substring(bare, -1, 1)
+    ends = (last != "") & F.contains(F.lit(TERMINALS), last)
+    for low, high in UNSIGNED:
+        ends = ends | last.between(low, high)
+    return ends
+
+
 def line_passes(line: Column) -> Column:
-    sound = line.rlike(SENTENCE_END)
+    sound = ends_sentence(line)
     for bad in (NOISE, NAVIGATION, BOILERPLATE):
         sound = sound & ~line.rlike(bad)
     return ~has_word(line) | sound
