@@ -4,6 +4,7 @@ import hashlib
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,28 @@ def test_no_epochs_and_no_padding_id_are_refused(spark):
     plan = spark.range(1).selectExpr("0 epoch", "0 batch_id", "id row_id", "1 n_tokens")
     with pytest.raises(ValueError):
         batches.pad_batches(plan, plan, None)
+
+
+def test_written_batches_are_whole_and_in_order(spark, tmp_path):
+    """Read file by file, rows come batch after batch, with no filler shuffled."""
+    rng = random.Random(2)
+    sizes = {i: rng.randint(1, 9) for i in range(300)}
+    tokens = spark.createDataFrame(
+        [(i, list(range(n)), [1] * n, [5] * n) for i, n in sizes.items()],
+        "row_id bigint, input_ids array<int>, attention_mask array<int>, labels array<int>",
+    )
+    rows = tokens.select("row_id", F.size("input_ids").alias("n_tokens"))
+    plan = batches.assign_batches(batches.seeded_order(batches.expand_epochs(rows, 2), 3), 7)
+    path = tmp_path / "batches"
+    batches.write_batches(plan, tokens, str(path), 99, "left")
+    want = [r["row_id"] for r in plan.orderBy("epoch", "idx").collect()]
+    got, owner = [], {}
+    for file in sorted(path.glob("epoch=*/*.parquet")):
+        for row in pq.read_table(file).to_pylist():
+            got.append(row["row_id"])
+            assert owner.setdefault((file.parent.name, row["batch_id"]), file.name) == file.name
+            n = sizes[row["row_id"]]
+            assert row["input_ids"] == [99] * (row["width"] - n) + list(range(n))
+            assert row["labels"] == [-100] * (row["width"] - n) + [5] * n
+    assert got == want
+    assert len({name for (_, _), name in owner.items()}) > 1

@@ -110,22 +110,53 @@ def pad(values: Column, filler: Column, width: Column, side: str) -> Column:
     return F.concat(values, fill) if side == "right" else F.concat(fill, values)
 
 
-def pad_batches(plan: DataFrame, tokens: DataFrame, pad_id: int, side: str = "right") -> DataFrame:
-    """Pad ids, mask and labels of every row to the width of its batch.
+FILLERS = ("input_ids", "attention_mask", "labels")
+
+
+def with_tokens(plan: DataFrame, tokens: DataFrame, *keep: str) -> DataFrame:
+    """Rows of the plan with the width of their batch and their token arrays, not padded yet.
 
     The widths are found on the lean plan, so the token arrays are shuffled once, by row.
     """
+    lean = padded_width(plan.select("epoch", "batch_id", "row_id", "n_tokens", *keep))
+    return lean.join(tokens.select("row_id", *FILLERS), "row_id")
+
+
+def fillers_of(pad_id: int | None) -> dict[str, int]:
     if pad_id is None:
         raise ValueError("no padding id")
+    return dict(zip(FILLERS, (pad_id, 0, IGNORE)))
+
+
+def padded(rows: DataFrame, fillers: dict[str, int], side: str, *keep: str) -> DataFrame:
+    """Ids, mask and labels of every row padded to its ``width``. A map."""
     width = F.col("width")
-    fillers = {"input_ids": pad_id, "attention_mask": 0, "labels": IGNORE}
-    joined = padded_width(plan.select("epoch", "batch_id", "row_id", "n_tokens")).join(
-        tokens.select("row_id", *fillers), "row_id"
-    )
-    return joined.select(
+    return rows.select(
         "epoch",
         "batch_id",
         "row_id",
+        *keep,
         width,
         *[pad(F.col(c), F.lit(f), width, side).alias(c) for c, f in fillers.items()],
     )
+
+
+def pad_batches(plan: DataFrame, tokens: DataFrame, pad_id: int, side: str = "right") -> DataFrame:
+    """Pad ids, mask and labels of every row to the width of its batch."""
+    fillers = fillers_of(pad_id)
+    return padded(with_tokens(plan, tokens), fillers, side)
+
+
+def write_batches(
+    plan: DataFrame, tokens: DataFrame, path: str, pad_id: int, side: str = "right"
+) -> None:
+    """Padded batches as files in the order in which a trainer takes them, a folder per epoch.
+
+    ``plan`` has ``idx``, the position in the epoch. Rows are dealt by ranges of batches, so a batch
+    is in one file, the files of an epoch follow each other by name, and a reader needs no shuffle.
+    Rows are padded after they are dealt and sorted: no filler is ever shuffled.
+    """
+    fillers = fillers_of(pad_id)
+    rows = with_tokens(plan, tokens, "idx")
+    dealt = rows.repartitionByRange("epoch", "batch_id").sortWithinPartitions("epoch", "idx")
+    padded(dealt, fillers, side, "idx").write.partitionBy("epoch").parquet(path)

@@ -249,8 +249,8 @@ def file_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenized_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "prepared")
     prep.write_prepared(prepared_of(spark, sf_dir), path)
-    written = spark.read.parquet(path).filter(F.col("split") == TRAIN)
-    return written.select("row_id", "split", spelled("labels").alias("labels"))
+    written = spark.read.parquet(path)
+    return written.select("row_id", "split", *[F.md5(spelled(c)).alias(f"{c}_md5") for c in TOKENS])
 
 
 @query
@@ -520,10 +520,8 @@ def pad_batches_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return padded(spark, sf_dir, "left")
 
 
-def padded(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
-    """The prepared rows are written once; the plan reads their sizes, the join their arrays."""
-    codec = codec_of(spark, sf_dir)
-    special = codec.resolve("eos", side)
+def planned(spark: SparkSession, sf_dir: str, codec: Codec) -> tuple[DataFrame, DataFrame]:
+    """``(plan, tokens)``. The prepared rows are written once; the plan reads their sizes only."""
     prepared = prep.prepare(records_of(spark, sf_dir), codec, MAX_LENGTH)
     tokens = stage(
         prepared.filter(F.col("split") == TRAIN).withColumn(
@@ -531,13 +529,52 @@ def padded(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
         ),
         "prepared",
     )
-    plan = batch_plan(tokens.select("row_id", "split", "n_tokens"))
-    rows = batches.pad_batches(plan, tokens, special.pad_id, special.padding_side)
-    return spell_arrays(rows, "input_ids", "attention_mask", "labels").withColumns(
+    return batch_plan(tokens.select("row_id", "split", "n_tokens")), tokens
+
+
+def padded(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+    codec = codec_of(spark, sf_dir)
+    special = codec.resolve("eos", side)
+    rows = batches.pad_batches(
+        *planned(spark, sf_dir, codec), special.pad_id, special.padding_side
+    )
+    return spell_arrays(rows, *TOKENS).withColumns(
         {"epoch": big(F.col("epoch")), "width": big(F.col("width"))}
     )
 
 
+@query
+def batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches as a reader of the written files meets them: how many files a batch is in, its rows
+    and arrays in the order of the file."""
+    codec = codec_of(spark, sf_dir)
+    path = fresh_path(spark, "batches")
+    batches.write_batches(*planned(spark, sf_dir, codec), path, codec.resolve().pad_id)
+    read = spark.read.parquet(path).select(
+        "epoch",
+        "batch_id",
+        F.struct(
+            F.monotonically_increasing_id().alias("place"),
+            "row_id",
+            *[F.md5(spelled(c)).alias(c) for c in TOKENS],
+        ).alias("row"),
+        F.col("_metadata.file_path").alias("file"),
+        "width",
+    )
+    rows = read.groupBy("epoch", "batch_id").agg(
+        F.count_distinct("file").alias("n_files"),
+        big(F.max("width")).alias("width"),
+        F.array_sort(F.collect_list("row")).alias("rows"),
+    )
+    return rows.select(
+        big(F.col("epoch")).alias("epoch"),
+        "batch_id",
+        "n_files",
+        "width",
+        *[spelled(F.col("rows")[c]).alias(c) for c in ("row_id", *TOKENS)],
+    )
+
+
 @query
 def step_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = batch_plan(stage(counts_of(spark, sf_dir), "piece-counts"))

@@ -185,7 +185,8 @@ plan AS (
 LABELLED_PLAN = labelled() + ", " + PLAN
 
 
-def padded(side: str) -> str:
+def fitted(side: str) -> dict[str, str]:
+    """Each array, padded, as a string."""
     fill = "list_transform(range(0, width - len(ids)), lambda i: {})"
     ids, mask, labels = (fill.format(x) for x in (2, 0, -100))
     values = [
@@ -193,18 +194,31 @@ def padded(side: str) -> str:
         (mask, "list_transform(ids, lambda x: 1)", "attention_mask"),
         (labels, "labels", "labels"),
     ]
-    pairs = [
-        (joined(f"list_concat({v}, {f})" if side == "right" else f"list_concat({f}, {v})"), name)
+    return {
+        name: joined(f"list_concat({v}, {f})" if side == "right" else f"list_concat({f}, {v})")
         for f, v, name in values
-    ]
-    columns = ", ".join(f"{expression} AS {name}" for expression, name in pairs)
-    return (
-        LABELLED_PLAN
-        + f""", wide AS (
+    }
+
+
+WIDE = LABELLED_PLAN + """, wide AS (
   SELECT *, CAST(max(len(ids)) OVER (PARTITION BY epoch, batch_id) AS BIGINT) AS width
   FROM plan JOIN labelled USING (row_id))
-SELECT epoch, batch_id, row_id, width, {columns} FROM wide"""
+"""
+
+
+def padded(side: str) -> str:
+    columns = ", ".join(f"{expression} AS {name}" for name, expression in fitted(side).items())
+    return WIDE + f"SELECT epoch, batch_id, row_id, width, {columns} FROM wide"
+
+
+def in_batches() -> str:
+    columns = ", ".join(
+        f"string_agg(md5({expression}), ' ' ORDER BY idx) AS {name}"
+        for name, expression in fitted("right").items()
     )
+    return WIDE + f"""SELECT epoch, batch_id, CAST(1 AS BIGINT) AS n_files, max(width) AS width,
+       string_agg(CAST(row_id AS VARCHAR), ' ' ORDER BY idx) AS row_id, {columns}
+FROM wide GROUP BY epoch, batch_id"""
 
 
 WHOLE_TEXTS = """whole_texts AS (
@@ -247,7 +261,9 @@ WHERE rn <= 20""",
     + """SELECT split AS name, true AS found, count(*) AS n_lines FROM sizes GROUP BY split
 UNION ALL SELECT 'missing', false, 0""",
     "tokenized_sink": labelled()
-    + f"SELECT row_id, split, {joined('labels')} AS labels FROM labelled WHERE split = 'train'",
+    + f"""SELECT row_id, split, md5({joined('ids')}) AS input_ids_md5,
+       md5({joined('list_transform(ids, lambda x: 1)')}) AS attention_mask_md5,
+       md5({joined('labels')}) AS labels_md5 FROM labelled""",
     "vocab_save_load": with_(TURNS, VOCAB) + "SELECT piece, id, n, is_special FROM vocab",
     "sample_row": with_(TURNS, texts())
     + """SELECT row_id, full_text AS text FROM texts WHERE split = 'train'
@@ -318,6 +334,7 @@ FROM sizes WHERE split = 'validation'""",
     "step_assign": with_(PLAN) + "SELECT row_id, epoch, step FROM plan",
     "pad_batches": padded("right"),
     "pad_batches_left": padded("left"),
+    "batch_sink": in_batches(),
     "step_manifest": LABELLED_PLAN
     + f""", batches AS (
   SELECT step, epoch, batch_id, count(*) AS n_rows, sum(len(ids)) AS n_tokens,
