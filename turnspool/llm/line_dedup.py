@@ -50,7 +50,9 @@ MEMBERS = (
     "line array<int>, shared array<int>, n1 array<bigint>, n2 array<bigint>, copy array<boolean>"
 )
 STATE = f"at bigint, key bigint, n int, a array<bigint>, b array<bigint>, {MEMBERS}"
-CANDIDATES = "k1 bigint, k2 bigint, at bigint, key bigint, line int, member int"
+CANDIDATES = "k1 bigint, k2 bigint, at bigint, key bigint, line int, member int, digit int"
+# Each round settles one digit of the shared lines to this base.
+BASE = 4
 
 
 def prefix_ranks(lines: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
@@ -67,125 +69,141 @@ def prefix_ranks(lines: np.ndarray, length: int, factor: np.uint64) -> np.ndarra
     return rank
 
 
-def _numpy(column: pa.Array, row: int) -> np.ndarray:
-    return column[row].values.to_numpy(zero_copy_only=False)
+class Lists:
+    """List columns of one shape as flat arrays."""
 
+    def __init__(self, *columns: pa.Array):
+        sizes = columns[0].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        self.first = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.flat = [c.flatten() for c in columns]
 
-def emit_candidates(step: int | None, least: int):
-    """Each suffix with the interval that it would be in by ``step`` lines more; first of all, with
-    that of its first ``least`` lines."""
+    def numpy(self) -> list[np.ndarray]:
+        return [x.to_numpy(zero_copy_only=False) for x in self.flat]
+
+
+def emit_candidates(unit: int | None, least: int):
+    """Each suffix with the intervals that it would be in by 1, 2 or 3 ``unit`` lines more; first of
+    all, with that of its first ``least`` lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+            texts = Lists(batch.column("a"), batch.column("b"))
+            lines = [x.view(np.uint64) for x in texts.numpy()]
             place = [batch.column(c).to_numpy() for c in ("at", "key")]
-            for r in range(batch.num_rows):
-                lines = [_numpy(batch.column(c), r).view(np.uint64) for c in ("a", "b")]
-                if step is None:
-                    keys = [prefix_ranks(x, least, f) for x, f in zip(lines, FACTORS)]
-                    line = member = np.arange(len(keys[0]))
-                else:
-                    line, shared, *node = (
-                        _numpy(batch.column(c), r) for c in ("line", "shared", "n1", "n2")
-                    )
-                    ranks = [prefix_ranks(x, step, f) for x, f in zip(lines, FACTORS)]
-                    member = np.flatnonzero(line + shared < len(ranks[0]))
-                    on = (line + shared)[member]
-                    keys = [
-                        mix(n.view(np.uint64)[member] * f + mix(rank[on]))
-                        for n, rank, f in zip(node, ranks, FACTORS)
-                    ]
-                    line = line[member]
-                columns = [*(k.view(np.int64) for k in keys)]
-                columns += [np.full(len(line), p[r]) for p in place] + [line, member]
-                for part, column in zip(parts, columns):
-                    part.append(column)
-            types = [pa.int64()] * 4 + [pa.int32()] * 2
-            names = [c.split()[0] for c in CANDIDATES.split(", ")]
-            if batch.num_rows:
-                arrays = [pa.array(np.concatenate(p), t) for p, t in zip(parts, types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            if unit is None:
+                member = np.arange(len(texts.row)) - texts.first[texts.row]
+                whole = np.flatnonzero(member + least <= np.diff(texts.first)[texts.row])
+                keys = [prefix_ranks(x, least, f)[whole] for x, f in zip(lines, FACTORS)]
+                row, member = texts.row[whole], member[whole]
+                yield candidates(keys, place, row, member, member, 1)
+                continue
+            members = Lists(*[batch.column(c) for c in ("line", "shared", "n1", "n2")])
+            line, shared, *node = members.numpy()
+            behind = line.astype(np.int64) + shared
+            for digit in range(1, BASE):
+                fits = np.diff(texts.first)[members.row] - behind >= digit * unit
+                own = np.flatnonzero(fits)
+                row = members.row[own]
+                at = texts.first[row] + behind[own]
+                keys = [
+                    mix(n[own].view(np.uint64) * f + mix(prefix_ranks(x, digit * unit, f)[at]))
+                    for n, x, f in zip(node, lines, FACTORS)
+                ]
+                yield candidates(keys, place, row, line[own], own - members.first[row], digit)
+
+    def candidates(keys, place, row, line, member, digit) -> pa.RecordBatch:
+        arrays = [pa.array(k.view(np.int64)) for k in keys] + [pa.array(p[row]) for p in place]
+        arrays += [pa.array(x, pa.int32()) for x in (line, member, np.full(len(row), digit))]
+        return pa.RecordBatch.from_arrays(
+            arrays, names=[c.split()[0] for c in CANDIDATES.split(", ")]
+        )
 
     return run
 
 
-def emit_state(step: int | None, least: int):
-    """Texts with their suffixes after a step."""
+def emit_state(unit: int | None, least: int):
+    """Texts with their suffixes after a round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists: list[list[np.ndarray]] = [[] for _ in range(5)]
-            for r in range(batch.num_rows):
-                moves = batch.column("moves")[r].values
-                found = []
-                if moves is not None:
-                    found = [
-                        moves.field(c).to_numpy(zero_copy_only=False)
-                        for c in ("member", "k1", "k2", "holds")
-                    ]
-                if step is None:
-                    member, k1, k2, holds = found
-                    new = [member, np.full(len(member), least), k1, k2, ~holds]
-                else:
-                    new = [_numpy(batch.column(c), r) for c in ("line", "shared", "n1", "n2", "copy")]
-                    if found:
-                        member, k1, k2, holds = found
-                        line, shared, n1, n2, copy = (x.copy() for x in new)
-                        more = [line[member[holds]], shared[member[holds]] + step]
-                        more += [k1[holds], k2[holds], np.zeros(holds.sum(), bool)]
-                        gone = member[~holds]
-                        shared[gone] += step
-                        n1[gone], n2[gone] = k1[~holds], k2[~holds]
-                        copy[gone] = True
-                        new = [
-                            np.concatenate(pair) for pair in zip((line, shared, n1, n2, copy), more)
-                        ]
-                for part, column in zip(lists, new):
-                    part.append(column)
-            offsets = np.append(0, np.cumsum([len(x) for x in lists[0]])).astype(np.int32)
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            moves = Lists(batch.column("moves"))
+            found = [
+                moves.flat[0].field(c).to_numpy(zero_copy_only=False)
+                for c in ("member", "digit", "size", "k1", "k2", "holds")
+            ]
+            if unit is None:
+                member, _, _, k1, k2, holds = found
+                row = moves.row
+                new = [member, np.full(len(member), least), k1, k2, ~holds]
+            else:
+                row, new = moved(batch, moves.row, *found)
+            order = np.argsort(row, kind="stable")
+            offsets = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows)))
             columns = [batch.column(c) for c in ("at", "key", "n", "a", "b")]
-            for part, kind in zip(lists, types):
-                values = np.concatenate(part) if part else np.zeros(0, np.int64)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind)))
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            for values, kind in zip(new, types):
+                flat = pa.array(values[order], kind)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat))
             names = [c.split()[0] for c in STATE.split(", ")]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    def moved(batch, row, member, digit, size, k1, k2, holds) -> tuple[np.ndarray, list[np.ndarray]]:
+        members = Lists(*[batch.column(c) for c in ("line", "shared", "n1", "n2", "copy")])
+        line, shared, n1, n2, copy = (x.copy() for x in members.numpy())
+        own = members.first[row] + member
+        # The longest prefix that an earlier suffix shares.
+        best = np.zeros(len(line), np.int64)
+        np.maximum.at(best, own[~holds], digit[~holds])
+        # The earliest of an interval is put into it, unless all of it goes on together.
+        sizes = np.ones((len(line), BASE + 1), np.int64)
+        sizes[own, digit] = size
+        stays = np.flatnonzero(holds & (size > sizes[own, digit + 1]))
+        held = own[stays]
+        more = [line[held], shared[held] + digit[stays] * unit, k1[stays], k2[stays]]
+        more.append(np.zeros(len(held), bool))
+        goes = np.flatnonzero(~holds & (digit == best[own]))
+        gone = own[goes]
+        shared[gone] += (digit[goes] * unit).astype(shared.dtype)
+        n1[gone], n2[gone], copy[gone] = k1[goes], k2[goes], True
+        new = [np.concatenate(x) for x in zip((line, shared, n1, n2, copy), more)]
+        return np.concatenate([members.row, members.row[held]]), new
+
     return run
 
 
-def refined(state: DataFrame, step: int | None, least: int) -> DataFrame:
-    """One step for all intervals. First, texts without suffixes of an interval drop out."""
-    candidates = state.mapInArrow(emit_candidates(step, least), CANDIDATES)
+def refined(state: DataFrame, unit: int | None, least: int) -> DataFrame:
+    """One round for all intervals. First, texts without suffixes of an interval drop out."""
+    candidates = state.mapInArrow(emit_candidates(unit, least), CANDIDATES)
     place = F.struct("at", "key", "line")
     intervals = (
         candidates.groupBy("k1", "k2")
         .agg(F.count(F.lit(1)).alias("size"), F.min(place).alias("first"))
         .filter(F.col("size") > 1)
     )
+    move = F.struct("member", "digit", "size", "k1", "k2", (place == F.col("first")).alias("holds"))
     moves = (
         candidates.join(intervals, ["k1", "k2"])
         .groupBy("at", "key")
-        .agg(
-            F.collect_list(
-                F.struct("member", "k1", "k2", (place == F.col("first")).alias("holds"))
-            ).alias("moves")
-        )
+        .agg(F.collect_list(move).alias("moves"))
     )
-    joined = state.join(moves, ["at", "key"], "inner" if step is None else "left")
-    return stage(joined.mapInArrow(emit_state(step, least), STATE), "line-suffixes")
+    joined = state.join(moves, ["at", "key"], "inner" if unit is None else "left")
+    return stage(joined.mapInArrow(emit_state(unit, least), STATE), "line-suffixes")
 
 
 def later_copies(docs: DataFrame, least: int) -> DataFrame:
     """``(at, key, line, shared)``: suffixes of texts and how many lines of them are a later copy."""
     longest = docs.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     first = refined(docs, None, least)
-    live = first.filter("false")
-    for bit in reversed(range(max(0, longest - least).bit_length())):
-        # A text takes part from the first step on that fits behind the lines a suffix shares.
+    live, unit = first.filter("false"), 1
+    while unit * BASE <= longest - least:
+        unit *= BASE
+    while unit:
+        # A text takes part from the first round on that fits behind the lines a suffix shares.
         room = F.col("n") - least
-        entering = first.filter((room >= 1 << bit) & (room < 2 << bit))
-        live = refined(live.unionByName(entering), 1 << bit, least)
+        entering = first.filter((room >= unit) & (room < unit * BASE))
+        live = refined(live.unionByName(entering), unit, least)
+        unit //= BASE
     members = first.filter(F.col("n") == least).unionByName(live)
     each = members.select(
         "at", "key", F.explode(F.arrays_zip("line", "shared", "copy")).alias("m")
@@ -222,12 +240,12 @@ def clean_udf(least: int, chars: int):
     def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for texts, whole, line, shared in columns:
             rows = []
+            lists = Lists(line, shared)
+            starts, sizes = (x.astype(np.int64) for x in lists.numpy())
+            copied = whole.to_pylist()
             for r, text in enumerate(texts.to_pylist()):
-                lists = [
-                    np.zeros(0, np.int64) if c[r].values is None else _numpy(c, r).astype(np.int64)
-                    for c in (line, shared)
-                ]
-                found = cleaned(text or "", whole[r].as_py(), *lists)
+                own = slice(lists.first[r], lists.first[r + 1])
+                found = cleaned(text or "", copied[r], starts[own], sizes[own])
                 rows.append((text if not found[3] else found[0], *found[1:]))
             names = ("clean_text", "n_lines", "n_deleted_lines", "deleted")
             yield pa.array([dict(zip(names, r)) for r in rows], TYPE)
