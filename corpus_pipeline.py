@@ -21,14 +21,16 @@ from turnspool.staging import stage
 
 
 def _lean(docs: DataFrame) -> DataFrame:
-    """Id and text for an operator, and the whole row beside them, out of reach of its names."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(F.col("doc_id"), F.col("text"), row.alias("row"))
+    """Id and text for an operator, and the other columns beside them, out of reach of its names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias(""), *others).alias("row"))
 
 
 def _rows(found: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
     """The columns of ``docs`` again, as they were but for a new text and its length."""
-    new = {} if text is None else {"text": text, "n_chars": F.length(text).cast("bigint")}
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if text is not None:
+        new |= {"text": text, "n_chars": F.length(text).cast("bigint")}
     row = F.col("row")
     return found.select(*[new.get(c, row.getField(c)).alias(c) for c in docs.columns])
 
