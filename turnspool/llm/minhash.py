@@ -345,6 +345,20 @@ def with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
     ).drop("to")
 
 
+def between_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links of documents as links of the components that they are in."""
+    for end in ("u", "v"):
+        of = roots.select(F.col("node").alias(end), F.col("root").alias("to"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    return links.filter("u <> v").distinct()
+
+
+def joined_roots(roots: DataFrame, moved: DataFrame) -> DataFrame:
+    """``roots`` after components were joined as ``moved`` says, which may name new nodes too."""
+    new = moved.join(roots.select("node"), "node", "left_anti")
+    return with_roots(roots, moved).select("node", "root").unionByName(new)
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of ``df``: ``(doc_id, text_hash, n_shingles, component_id, kept,
     keeper)``. ``kept`` says that the row has its component's id, ``keeper`` picks one row of each
@@ -393,21 +407,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "texts",
     )
 
-    def settled(pairs: DataFrame, links: DataFrame | None) -> tuple[DataFrame, ...]:
-        new = stage(confirmed(stage(pairs, "pairs"), texts), "links")
-        links = new if links is None else links.unionByName(new)
-        roots = stage(components(links), "roots")
-        own = members.withColumn("root", F.col("node"))
-        return links, roots, stage(undecided(with_roots(own, roots)), "buckets")
+    def links_of(pairs: DataFrame) -> DataFrame:
+        return stage(confirmed(stage(pairs, "pairs"), texts), "links")
 
-    links, roots, members = settled(plausible(star_pairs(members, None), texts), None)
+    first = links_of(plausible(star_pairs(members, None), texts))
+    roots = stage(components(first), "roots")
+    members = stage(undecided(with_roots(members, roots)), "buckets")
     for seed in [*range(HASHED_ROUNDS), None]:
         if members.isEmpty():
             break
-        pairs = cross_pairs(members, texts) if seed is None else star_pairs(members, seed)
-        links, roots, members = settled(
-            pairs if seed is None else plausible(pairs, texts), links
-        )
+        across = seed is None
+        pairs = cross_pairs(members, texts) if across else plausible(star_pairs(members, seed), texts)
+        # Only what is new is linked: components found before are one node each.
+        moved = stage(components(between_roots(links_of(pairs), roots)), "moved")
+        roots = stage(joined_roots(roots, moved), "roots")
+        if not across:
+            members = stage(undecided(with_roots(members, moved)), "buckets")
     return _result(rows, classes, roots)
 
 
