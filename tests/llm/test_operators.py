@@ -257,6 +257,23 @@ SECRETS = [
 ]
 
 
+def test_secrets_of_texts_with_many_matches(spark):
+    rng = random.Random(4)
+    texts = [
+        "é ".join(rng.choice(["0123456789abcdef" * 3, "ab", "token=abcdefgh", "x" * 40]) for _ in range(n))
+        for n in (511, 512, 513, 1024, 3000)
+    ]
+    keys = 200_000
+    texts.append("\n".join(["deadbeef" * 4] * keys))
+    got = by_id(secrets.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")))
+    for d, text in enumerate(texts[:-1]):
+        spans = [(s["start"], s["number"], s["end"]) for s in got[d]["spans"]]
+        assert spans == brute.spans(text, secrets.RULES)
+    last = got[len(texts) - 1]["spans"]
+    assert len(last) == keys
+    assert all((s["start"], s["end"]) == (33 * i, 33 * i + 32) for i, s in enumerate(last))
+
+
 def test_secrets(spark, table, docs):
     rows = docs + [(200 + i, t) for i, t in enumerate(SECRETS)]
     got = by_id(secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)))

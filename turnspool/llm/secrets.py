@@ -6,8 +6,8 @@ each trigram that a query asks for and each text it is in; postings are intersec
 only the texts left are searched with the expression. A rule without mandatory trigrams searches
 every text.
 
-A null text counts as empty and has no spans. Nulls in other columns, repeated rows and an empty
-table need no care; extra columns stay, unless they are named like a result column. Positions are
+A null text counts as empty and has no spans. The work on a text grows with its length, however many
+matches it holds. Nulls in other columns, ties, repeated rows and an empty table need no care; extra columns stay, unless they are named like a result column. Positions are
 code points, ends exclusive. Every expression is a built-in function.
 """
 
@@ -25,6 +25,10 @@ from turnspool.staging import stage
 MAX_STRINGS = 64
 # Trigrams of a conjunction that are intersected; leaving some out only adds candidates.
 MAX_BITS = 62
+# Matches of one text that are put together at a time.
+FOLDED = 512
+
+SPANS = "array<struct<start:int,number:int,end:int>>"
 
 
 @dataclass(frozen=True)
@@ -169,8 +173,8 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part"),
         gaps.alias("gap"),
     )
-    empty = F.lit(None).cast("array<struct<start:int,number:int,end:int>>")
-    none = F.coalesce(empty, F.array().cast("array<struct<start:int,number:int,end:int>>"))
+    empty = F.lit(None).cast(SPANS)
+    none = F.coalesce(empty, F.array().cast(SPANS))
 
     def add(acc: Column, m: Column) -> Column:
         start = acc["at"] + F.length(m["gap"])
@@ -180,12 +184,35 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
         found = F.when(counts, F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    found = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), none.alias("found")),
-        add,
-        lambda acc: acc["found"],
-    )
+    def append(acc: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["found"],
+            lambda s: F.struct(
+                (s["start"] + acc["at"]).alias("start"),
+                s["number"].alias("number"),
+                (s["end"] + acc["at"]).alias("end"),
+            ),
+        )
+        return F.struct(
+            (acc["at"] + block["at"]).alias("at"),
+            F.concat(acc["found"], F.array(moved)).alias("found"),
+        )
+
+    def in_blocks(pairs: Column) -> Column:
+        # A fold copies what it has found at each match, so it only runs over a block of matches.
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / FOLDED).cast("int")),
+            lambda k: F.aggregate(
+                F.slice(pairs, k * FOLDED + 1, F.lit(FOLDED)),
+                F.struct(F.lit(0).alias("at"), none.alias("found")),
+                add,
+            ),
+        )
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("found"))
+        return F.aggregate(blocks, start, append, lambda acc: F.flatten(acc["found"]))
+
+    # As the variable of a function the pairs are made once, not for each block.
+    found = F.get(F.transform(F.array(pairs), in_blocks), F.lit(0))
     return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
@@ -210,8 +237,10 @@ def scan_secrets(
     asked = {kind: q for kind, q in queries.items() if q is not None}
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "spans"])
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    # Texts that share a key share candidates too, which the search then settles.
-    texts = df.select(row.alias("row"), text.alias("text"), F.xxhash64(text).alias("key"))
+    # Texts that share a key share candidates too, which the search then settles. Empty texts have
+    # no posting, so any key will do that lets them lie apart.
+    key = F.when(text == "", F.monotonically_increasing_id()).otherwise(F.xxhash64(text))
+    texts = df.select(row.alias("row"), text.alias("text"), key.alias("key"))
     trigrams = sorted(set().union(*itertools.chain(*asked.values())))
     index = stage(build_index(texts, trigrams), "trigram-index")
     marked = texts.join(candidates(index, asked), "key", "left")
