@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from turnspool.llm import language, queries, toxicity
 
@@ -101,3 +102,28 @@ def test_toxicity_query_on_held_out_rows(spark, name):
     toxic = [r["score"] for r in rows if r["toxic"] == 1]
     assert np.mean(clean) < 0.1
     assert np.mean(toxic) > np.mean([r["score"] for r in rows if r["toxic"] == 0]) + 0.2
+
+
+@pytest.mark.parametrize("share", [0.05, 0.2])
+def test_prior_from_positives_and_unlabelled(share):
+    rng = np.random.default_rng(5)
+    positive = np.arange(6000) < 1000
+    toxic = positive | (rng.random(6000) < share)
+    sets = [np.unique(np.append(rng.integers(5, 60, 8), rng.integers(0, 5, 2) if t else 60)) for t in toxic]
+    row = np.repeat(np.arange(6000), [len(s) for s in sets])
+    got = toxicity.estimated_prior(row, np.concatenate(sets), 61, positive)
+    assert abs(got - share) < 0.03
+    assert toxicity.estimated_prior(row[:0], row[:0], 1, positive[:1]) == 0.5
+
+
+def test_confirmed_positives_only_leave_clean_texts_alone(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = queries.documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    taught = queries.bucket_of(F.col("doc_id"), 5) != 0
+    model = toxicity.fit_toxicity(docs.filter(taught), labels.filter(taught).filter("toxic = 1"))
+    held = toxicity.score_toxicity(docs.filter(~taught), model).join(labels, "doc_id").collect()
+    clean = [r["predicted"] for r in held if r["toxic"] == 0]
+    toxic = [r["predicted"] for r in held if r["toxic"] == 1]
+    assert np.mean(clean) < 0.1
+    assert np.mean(toxic) > 0.5

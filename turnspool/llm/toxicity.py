@@ -7,8 +7,10 @@ the risk
     prior * risk(P as toxic) + max(0, risk(U as clean) - prior * risk(P as clean))
 
 where the second part, a mean over clean texts, cannot fall below zero; where it would, its
-gradient is turned round. ``prior`` is the share of toxic rows among all labelled rows. Training
-uses at most ``max_positive`` and ``max_unlabelled`` texts, those with the smallest hash of their
+gradient is turned round. ``prior``, the share of toxic texts, can be given. Otherwise it is their
+share among labelled rows; where those are confirmed positives only, it is estimated from P and U: no
+set of texts can hold a smaller part of U than prior times its part of P, and the sets tried are the
+texts that a classifier, trained on other rows, scores above a threshold. Training uses at most ``max_positive`` and ``max_unlabelled`` texts, those with the smallest hash of their
 id, and the ``vocabulary`` features that tell P and U apart best.
 
 A null text is an empty one; every text gets a score. Without a confirmed toxic text every score is
@@ -100,6 +102,36 @@ def train_nnpu(
     return weights, float(bias)
 
 
+def estimated_prior(
+    row: np.ndarray, feature: np.ndarray, n_features: int, positive: np.ndarray
+) -> float:
+    """The share of P's kind in U, as an upper bound that is close if some texts are surely toxic.
+
+    Half of the rows train a classifier, the others tell which parts of P and of U it scores above
+    each of P's scores. The least ratio of the two, each with its standard error to the safe side,
+    is the bound; thresholds that few texts of P reach count little by themselves.
+    """
+    half = np.zeros(len(positive), bool)
+    for kind in (positive, ~positive):
+        half[np.flatnonzero(kind)[::2]] = True
+    taught = half[row]
+    place = np.cumsum(half) - 1
+    weights, bias = train_nnpu(
+        place[row[taught]], feature[taught], n_features, positive[half], 0.5
+    )
+    z = (bias + np.bincount(row, weights[feature], len(positive)))[~half]
+    of_p, of_u = np.sort(z[positive[~half]]), np.sort(z[~positive[~half]])
+    if not len(of_p) or not len(of_u):
+        return 0.5
+    cuts = np.unique(of_p)
+    p = 1 - np.searchsorted(of_p, cuts) / len(of_p)
+    u = 1 - np.searchsorted(of_u, cuts) / len(of_u)
+    p_low = p - np.sqrt(p * (1 - p) / len(of_p)) - 1 / len(of_p)
+    u_high = u + np.sqrt(u * (1 - u) / len(of_u)) + 1 / len(of_u)
+    bound = u_high[p_low > 0] / p_low[p_low > 0]
+    return float(min(bound.min(initial=1.0), 1.0))
+
+
 def choose_vocabulary(counts: DataFrame, n_p: int, n_u: int, size: int) -> np.ndarray:
     """The features whose share differs most between P and U: by MIN_DEVIATIONS at least, so that
     the many words of a long text add no noise."""
@@ -122,6 +154,7 @@ def fit_toxicity(
     max_positive: int = 6_000,
     max_unlabelled: int = 18_000,
     vocabulary: int = 2_048,
+    prior: float | None = None,
 ) -> Model | None:
     """Train from ``docs (doc_id, text)``, all taken as unlabelled, and ``labels (doc_id, toxic)``.
 
@@ -129,8 +162,8 @@ def fit_toxicity(
     """
     order = F.xxhash64("doc_id"), F.col("doc_id")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    prior = known.agg(F.avg("toxic")).first()[0]
-    if not prior:
+    share = known.agg(F.avg("toxic")).first()[0]
+    if not share:
         return None
     ids = docs.filter(F.col("doc_id").isNotNull()).select("doc_id")
     toxic = known.filter(F.col("toxic") == 1).select("doc_id").distinct()
@@ -166,6 +199,8 @@ def fit_toxicity(
         np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)
     )
     positive = table["positive"].to_numpy(zero_copy_only=False).astype(bool)
+    if prior is None:
+        prior = share if share < 1 else estimated_prior(row, feature, len(chosen), positive)
     weights, bias = train_nnpu(row, feature, len(chosen), positive, min(max(prior, 0.01), 0.99))
     full = np.zeros(1 << FEATURE_BITS)
     full[chosen] = weights
