@@ -42,6 +42,8 @@ FINE_MINIMA = 2048
 DEVIATIONS = 5.5
 HASHED_ROUNDS = 1
 BLOCK = 8192
+# Bytes of text that are hashed at a time: their minima stay in a core's cache.
+SLICE = 1 << 20
 
 SKETCH = "struct<n:bigint,fp1:bigint,fp2:bigint,bands:array<bigint>>"
 
@@ -117,7 +119,7 @@ def _sketches():
             n = np.zeros(len(column), np.int64)
             prints = np.zeros((2, len(column)), np.uint64)
             bands = np.zeros((len(column), MINIMA // BAND_ROWS), np.uint64)
-            for low, high, data, bounds in slices(column):
+            for low, high, data, bounds in slices(column, SLICE):
                 row, code = shingle_sets(reader.read(data, bounds))
                 if not len(row):
                     continue
@@ -140,7 +142,7 @@ def _fine_signatures():
         reader = WordReader(NOT_SPACE, lower=True)
         for column in columns:
             packed = np.zeros((len(column), FINE_MINIMA * BITS // 64), np.uint64)
-            for low, _, data, bounds in slices(column):
+            for low, _, data, bounds in slices(column, SLICE):
                 row, code = shingle_sets(reader.read(data, bounds))
                 heads = np.flatnonzero(np.diff(row, prepend=-1))
                 if len(heads):
@@ -157,10 +159,10 @@ def _overlap():
         reader = WordReader(NOT_SPACE, lower=True)
         for left, right in batches:
             linked = np.zeros(len(left), bool)
-            for low, high, data, bounds in slices(left):
+            for low, high, data, bounds in slices(left, SLICE):
                 row, code = shingle_sets(reader.read(data, bounds))
                 rows, codes = [row], [code]
-                for a, _, data, bounds in slices(right.slice(low, high - low)):
+                for a, _, data, bounds in slices(right.slice(low, high - low), SLICE):
                     row, code = shingle_sets(reader.read(data, bounds))
                     rows.append(row + a)
                     codes.append(code)

@@ -45,6 +45,8 @@ LONG_BLANKS = re.compile(f"[{BLANKS}]{{1000,}}")
 
 # Chunks that a task remembers; beyond that it starts over.
 MAX_KNOWN = 1 << 20
+# Bytes of text that are tokenized at a time.
+SLICE = 2 << 20
 PLACE_BITS = 16
 
 
@@ -150,7 +152,7 @@ def pieces_udf(path: str, length: int, end_id: int, with_ids: bool):
         tokenizer = ChunkTokenizer(path)
         for column in columns:
             per_row, start, size, crc, parts = [], [], [], [], []
-            for low, high, data, bounds in slices(column):
+            for low, high, data, bounds in slices(column, SLICE):
                 ids, ends = tokenizer.encode(data, bounds)
                 for row in range(high - low):
                     own = np.append(ids[ends[row] : ends[row + 1]], np.int32(end_id))
