@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from turnspool.functions.labels import IGNORE
 from turnspool.functions.pieces import UNK, PieceRule, split_pieces
 from turnspool.functions.template import CHATML, CHATML_TIGHT, ROLE_MARKS, ChatTemplate
-from turnspool.operators.encode import decode, encode
+from turnspool.operators import encode as encoding
+from turnspool.operators.encode import decode, encode, encode_by_join
 from turnspool.operators.vocabulary import (
     Codec,
     fit_vocabulary,
@@ -321,3 +322,37 @@ def test_a_null_behind_the_cut_makes_a_conversation_unusable(spark, long_turns,
     left_out = prep.unusable_records(chat_records(spoiled, 64)).select("row_id", F.size("messages"))
     ((row_id, size),) = left_out.collect()
     assert row_id == 1 and size <= 65 + 1024 + 1
+
+
+@pytest.mark.parametrize("max_length", [None, 7])
+def test_lookup_by_join_gives_the_same_ids(spark, vocab, codec, max_length, monkeypatch):
+    monkeypatch.setattr(encoding, "BATCH_BITS", 2)
+    monkeypatch.setattr(encoding, "BATCH_PIECES", 50)
+    rng = random.Random(4)
+    known = [r["piece"] for r in vocab.collect()]
+    texts = ["", None, "ζζζ ζζζ", "<|im_start|>user\n", "a" * 5000, "the " * 4000]
+    texts += ["".join(rng.choices(known, k=rng.randrange(90))) for _ in range(60)]
+    df = texts_of(spark, texts).select(
+        "row_id", "text", F.lit(1).alias("piece"), F.lit(2).alias("batch"), F.lit(3).alias("a.b")
+    )
+    joined = encode_by_join(df, F.col("text"), vocab, max_length)
+    assert joined.columns == [*df.columns, "input_ids"]
+    want = df.withColumn("input_ids", encode(F.col("text"), codec, max_length))
+    assert sorted(joined.collect()) == sorted(want.collect())
+
+
+def test_lookup_by_join_of_no_rows_and_of_unknown_pieces(spark, vocab):
+    empty = texts_of(spark, ["a"]).limit(0)
+    assert encode_by_join(empty, F.col("text"), vocab).collect() == []
+    rows = encode_by_join(texts_of(spark, ["ζ", "", "ζζ"]), F.col("text"), vocab).collect()
+    assert {r["row_id"]: r["input_ids"] for r in rows} == {0: [0], 1: [], 2: [0]}
+
+
+def test_lookup_by_join_asks_for_a_piece_once_per_batch(spark, vocab):
+    rows = encode_by_join(
+        texts_of(spark, ["the the the"] * 600), F.col("text"), vocab, name="text"
+    )
+    assert rows.columns == ["row_id", "text"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") == 1 and "Aggregate [by" in plan
+    assert len({tuple(r["text"]) for r in rows.collect()}) == 1

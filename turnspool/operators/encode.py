@@ -1,4 +1,8 @@
-"""Text to ids and back, row by row in place: no token is ever shuffled."""
+"""Text to ids and back, row by row in place: no token is ever shuffled.
+
+Only a vocabulary too large to be broadcast is looked up by a join, of the distinct pieces of some
+rows at a time.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from turnspool.functions.pieces import split_pieces
+from turnspool.functions.pieces import PieceRule, split_pieces
 from turnspool.operators.vocabulary import Codec
+from turnspool.staging import stage
+
+# A join looks up the pieces of 2^BATCH_BITS rows at once; a row of more pieces than this goes alone.
+BATCH_BITS = 8
+BATCH_PIECES = 4096
 
 
 def lookup_ids(pieces: Column, codec: Codec) -> Column:
@@ -36,6 +46,51 @@ def encode(text: Column, codec: Codec, max_length: int | None = None) -> Column:
     return lookup_ids(truncate(split_pieces(text, codec.rule), max_length), codec)
 
 
+def encode_by_join(
+    df: DataFrame,
+    text: Column,
+    vocab: DataFrame,
+    max_length: int | None = None,
+    name: str = "input_ids",
+) -> DataFrame:
+    """``df`` with the ids of ``text`` as column ``name``, for a vocabulary of any size.
+
+    The same ids as ``encode``, but the vocabulary stays a table. Rows are put in batches by their
+    place; a batch asks for each of its pieces once, so a piece that is in every row brings one row
+    per batch to the join, and no token is shuffled on its own. Rows and pieces are staged, so that
+    places hold when an executor is lost. A null text has no ids.
+    """
+    marks = vocab.filter("is_special").orderBy("id").collect()
+    rule, unk_id = PieceRule(tuple(m["piece"] for m in marks)), marks[0]["id"]
+    kept = [c for c in df.columns if c != name]
+    pieces = F.coalesce(truncate(split_pieces(text, rule), max_length), F.array())
+    rows = stage(
+        df.select(
+            F.struct(F.lit(0).alias(""), *[F.col(f"`{c}`") for c in kept]).alias("row"),
+            pieces.cast("array<string>").alias("pieces"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
+        "pieces",
+    )
+    alone = F.size("pieces") > BATCH_PIECES
+    batch = F.when(alone, -1 - F.col("place")).otherwise(F.shiftright("place", BATCH_BITS))
+    rows = rows.select("row", "pieces", batch.alias("batch"))
+    asked = rows.select(F.col("batch").alias("by"), F.explode(F.array_distinct("pieces")).alias("piece")).distinct()
+    found = asked.join(vocab.select("piece", "id"), "piece").select("by", "piece", "id")
+
+    def look_up(rows: pa.Table, found: pa.Table) -> pa.Table:
+        column = rows["pieces"].combine_chunks()
+        at = pc.index_in(column.flatten(), value_set=found["piece"].combine_chunks())
+        ids = pc.fill_null(pc.take(found["id"].combine_chunks(), at), unk_id)
+        return pa.table({"row": rows["row"], "ids": _relist(column, ids.cast(pa.int32()))})
+
+    schema = StructType().add(rows.schema["row"]).add("ids", ArrayType(IntegerType()))
+    looked_up = rows.groupBy("batch").cogroup(found.groupBy("by")).applyInArrow(look_up, schema)
+    return looked_up.select(
+        *[F.col("row").getField(c).alias(c) for c in kept], F.col("ids").alias(name)
+    )
+
+
 def truncate(pieces: Column, max_length: int | None) -> Column:
     return pieces if max_length is None else F.slice(pieces, F.lit(1), F.lit(max_length))
 

@@ -113,7 +113,10 @@ class Codec:
     def __init__(self, vocab: DataFrame, eos: str | None = TURN_END):
         size = vocab.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
         if size > MAX_BYTES:
-            raise ValueError(f"the vocabulary's pieces have {size} bytes, more than {MAX_BYTES}")
+            raise ValueError(
+                f"the vocabulary's pieces have {size} bytes, more than {MAX_BYTES} to broadcast; "
+                "encode_by_join looks them up in the table"
+            )
         table = vocab.select("id", "piece", "is_special").orderBy("id").toArrow()
         pieces = table["piece"].combine_chunks()
         self.size = len(pieces)

@@ -21,7 +21,7 @@ from turnspool.functions.template import (
     render_chat,
 )
 from turnspool.operators import batches, reports
-from turnspool.operators.encode import decode, encode, lookup_ids, truncate
+from turnspool.operators.encode import decode, encode, encode_by_join, lookup_ids, truncate
 from turnspool.operators.order import global_index, long_levels
 from turnspool.operators.vocabulary import Codec, load_vocabulary, save_vocabulary
 from turnspool.plans import prepare as prep
@@ -338,6 +338,14 @@ def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_of(spark, sf_dir).select("doc_id", spelled(ids).alias("input_ids"))
 
 
+@query
+def encode_ids_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ids from a vocabulary that stays a table."""
+    docs = documents_of(spark, sf_dir)
+    encoded = encode_by_join(docs, F.col("text"), vocabulary_of(spark, sf_dir))
+    return encoded.select("doc_id", spelled("input_ids").alias("input_ids"))
+
+
 @query
 def truncate_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = documents_of(spark, sf_dir).select(

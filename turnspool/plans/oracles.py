@@ -240,6 +240,17 @@ SELECT split, '{"row_id":' || row_id || ',"messages":[{"role":"user"}]}', 'no us
 FROM sizes WHERE row_id % 7 = 5"""
 
 
+ENCODED = (
+    with_(
+        TURNS,
+        VOCAB,
+        f"docs AS (SELECT doc_id, regexp_extract_all(text, '{PAT}') AS pieces FROM documents)",
+        ids_of("docs", "doc_id"),
+    )
+    + f"""SELECT doc_id, coalesce({joined('ids')}, '') AS input_ids
+FROM docs LEFT JOIN ids USING (doc_id)"""
+)
+
 ORACLES: dict[str, str] = {
     "jsonl_strict": with_(TURNS, WHOLE_TEXTS)
     + """SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_id) - 1 AS idx,
@@ -283,14 +294,8 @@ FROM benchmark""",
 FROM turns GROUP BY row_id""",
     "render_infer": with_(PROMPTS) + "SELECT prompt_id, text FROM prompts",
     "vocab_build": with_(TURNS, VOCAB) + "SELECT piece, id, n, is_special FROM vocab",
-    "encode_ids": with_(
-        TURNS,
-        VOCAB,
-        f"docs AS (SELECT doc_id, regexp_extract_all(text, '{PAT}') AS pieces FROM documents)",
-        ids_of("docs", "doc_id"),
-    )
-    + f"""SELECT doc_id, coalesce({joined('ids')}, '') AS input_ids
-FROM docs LEFT JOIN ids USING (doc_id)""",
+    "encode_ids": ENCODED,
+    "encode_ids_by_join": ENCODED,
     "truncate_stats": with_(
         f"sizes AS (SELECT doc_id, len(regexp_extract_all(text, '{PAT}')) AS n FROM documents)"
     )
