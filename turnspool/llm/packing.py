@@ -44,9 +44,9 @@ BLANKS = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u300
 LONG_BLANKS = re.compile(f"[{BLANKS}]{{1000,}}")
 
 # Chunks that a task remembers; beyond that it starts over.
-MAX_KNOWN = 1 << 19
+MAX_KNOWN = 1 << 20
 # Bytes of text that are tokenized at a time.
-SLICE = 1 << 20
+SLICE = 2 << 20
 PLACE_BITS = 16
 
 
