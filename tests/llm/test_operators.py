@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -17,6 +18,7 @@ from turnspool.llm import (
     sharding,
     substring_dedup,
 )
+from turnspool.llm.words import ALNUM, WordReader
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -225,6 +227,30 @@ def test_decontamination(spark, monkeypatch, pass_bytes):
         assert (hits["n_words"], n_hit, hits["items"]) == tuple(want.values()), d
 
 
+def test_decontamination_with_a_common_suffix(spark):
+    """1,000 windows end in the pair of words that a text holds at 20,000 places."""
+    items = [(f"{i:04}", f"a{i} b c d e f g h the the") for i in range(1000)]
+    text = "the " * 20_000 + "a7 B c d e f g h The the a1000 b c d e f g h the the"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    words = WordReader(ALNUM, lower=True).read(raw, np.array([0, len(raw)]))
+    (patterns,) = decontamination.item_windows(items, 10)[1].values()
+    tracemalloc.start()
+    end, which = decontamination.search(patterns, words.code, words.first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert end.tolist() == [20_009] and patterns.words[which[0]][0] == b"a7"
+    assert peak < 32 << 20
+    docs = [(0, text), (1, "the the"), (2, items[3][1] + " the"), (3, None)]
+    found = decontamination.find_benchmark(
+        spark.createDataFrame(docs, SCHEMA),
+        spark.createDataFrame([*items, ("pair", "the the")], "item_id string, text string"),
+    )
+    got = {r["doc_id"]: r["hits"] for r in found.collect()}
+    for d, items_of in ((0, ["0007", "pair"]), (1, ["pair"]), (2, ["0003", "pair"]), (3, [])):
+        assert got[d]["items"] == items_of
+    assert sum(s["end"] - s["start"] for s in got[0]["spans"]) == 20_000 + 10 + 2
+
+
 def test_quality(spark, table, docs):
     line = " ".join(f"word{i}" for i in range(60)) + '."'
     odd = [

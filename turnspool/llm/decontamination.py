@@ -3,7 +3,8 @@
 A pattern is a window of ten consecutive words of a benchmark item (or a whole shorter item).
 Patterns of one length are searched together: a shift table over blocks of two words tells how far
 the next possible end of a match is, blocks that allow no shift select the patterns with that
-suffix by hash, and their words are compared with the text, first by code, then byte by byte.
+suffix and the same words before it by hash, and their words are compared with the text, first by
+code, then byte by byte. So a suffix that many patterns share costs no comparison with each of them.
 
 Texts with null have no words. Items without words give no pattern; an item whose id is null is
 called "null"; items with one id are one item. Repeated rows, extra columns and empty tables need
@@ -13,7 +14,7 @@ no care; the result column replaces one of its name.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,7 @@ class Patterns(NamedTuple):
     words: list[tuple[bytes, ...]]
     items: list[list[int]]  # of each pattern
     shift: np.ndarray
-    bucket: np.ndarray  # block hash of the suffix, in order
+    key: np.ndarray  # pattern_key, in order
     bits: int
 
 
@@ -47,6 +48,14 @@ def block_hash(before: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + last) >> np.uint64(64 - bits)
 
 
+def pattern_key(codes: Iterable[np.ndarray], blocks: np.ndarray, bits: int) -> np.ndarray:
+    """Block hash of the suffix, and behind it a hash of all words, given one after the other."""
+    whole = np.zeros(len(blocks), np.uint64)
+    for code in codes:
+        whole = mix(whole * np.uint64(0x9E3779B97F4A7C15) + code)
+    return (blocks << np.uint64(64 - bits)) | (whole >> np.uint64(bits))
+
+
 def prepare(patterns: dict[tuple[bytes, ...], list[int]], codes: dict[bytes, int]) -> Patterns:
     """Shift table and suffix buckets of patterns of one length."""
     words = list(patterns)
@@ -62,14 +71,14 @@ def prepare(patterns: dict[tuple[bytes, ...], list[int]], codes: dict[bytes, int
     shift = np.full(1 << bits, length - block + 1, np.int64)
     for end in range(block - 1, length):
         np.minimum.at(shift, hashes(end), length - 1 - end)
-    suffix = hashes(length - 1)
-    order = np.argsort(suffix, kind="stable")
+    key = pattern_key(table.T, hashes(length - 1), bits)
+    order = np.argsort(key, kind="stable")
     return Patterns(
         table[order],
         [words[i] for i in order],
         [patterns[words[i]] for i in order],
         shift,
-        suffix[order],
+        key[order],
         bits,
     )
 
@@ -99,8 +108,9 @@ def search(p: Patterns, code: np.ndarray, first: np.ndarray) -> tuple[np.ndarray
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     end, blocks = (np.concatenate(x) for x in zip(*found))
-    begin = np.searchsorted(p.bucket, blocks, "left")
-    size = np.searchsorted(p.bucket, blocks, "right") - begin
+    key = pattern_key((code[end - back] for back in reversed(range(length))), blocks, p.bits)
+    begin = np.searchsorted(p.key, key, "left")
+    size = np.searchsorted(p.key, key, "right") - begin
     end = np.repeat(end, size)
     which = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
     for back in range(length):
