@@ -71,6 +71,52 @@ def test_results_are_those_of_all_pairs(spark, monkeypatch, fanout, leaf, sample
     assert Counter(map(tuple, got.collect())) == plain(rows, 10)
 
 
+@pytest.mark.parametrize("times", [1, 256])  # the greater need more than 16 bits
+def test_results_of_waves_are_those_of_all_pairs(spark, monkeypatch, times):
+    small = {"FANOUT": 4, "LEAF": 50, "SAMPLE": 100, "WAVE": 2, "BLOCK": 60, "PART": 150, "DEPTH": 3}
+    small |= {"QUERIES": 9, "TILE": 4, "STRIP": 50, "WAITING": 40}
+    for name, value in small.items():
+        monkeypatch.setattr(hard_negatives, name, value)
+    rows = [(i, v and [x and x * times for x in v], *r) for i, v, *r in vectors(6)]
+    assert len(hard_negatives.waves(len(rows))) == 4
+    got = mine_hard_negatives(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0)
+    assert Counter(map(tuple, got.collect())) == plain(rows, 10)
+
+
+def test_what_is_sent_does_not_grow_with_the_leaves(spark, monkeypatch):
+    sent = {name: spark.sparkContext.accumulator(0) for name in ("emit_routes", "emit_found")}
+
+    def counted(name: str, size: str):
+        make, total = getattr(hard_negatives, name), sent[name]
+
+        def made(*args):
+            run = make(*args)
+
+            def watched(batches):
+                for batch in run(batches):
+                    total.add(getattr(batch, size))
+                    yield batch
+
+            return watched
+
+        return made
+
+    monkeypatch.setattr(hard_negatives, "emit_routes", counted("emit_routes", "nbytes"))
+    monkeypatch.setattr(hard_negatives, "emit_found", counted("emit_found", "num_rows"))
+    monkeypatch.setattr(hard_negatives, "LEAF", 16)
+    monkeypatch.setattr(hard_negatives, "SAMPLE", 500)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 16))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    rows = [(i, v.tolist(), i % 4, "", "", 1) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    n = mine_hard_negatives(table, F.col("vec_id") % 10 == 0).count()
+    assert n == 400 * 5 * 10
+    # Positives and negatives of 400 queries, from a sample of an eighth; 16 components and 6 entries.
+    assert sent["emit_found"].value < 8 * 1.5 * (400 * 6 + 400 * 6 * 10)
+    assert sent["emit_routes"].value < 2 * 8 * 400 * (16 * 4 + 6 * 40)
+
+
 def test_empty_tables_and_tables_without_anchors(spark):
     table = spark.createDataFrame(vectors(1, 40), SCHEMA)
     assert mine_hard_negatives(table.filter("false"), F.lit(True)).collect() == []

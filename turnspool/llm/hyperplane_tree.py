@@ -82,10 +82,12 @@ class HyperplaneTree:
             far = distances(x[own], points, self.square)
             nearest = (x[own] @ points.T).argmax(1)
             if low is not None:
-                for k in np.unique(nearest):
-                    seen = far[nearest == k]
-                    low[number][:, k] = np.minimum(low[number][:, k], seen.min(0))
-                    high[number][:, k] = np.maximum(high[number][:, k], seen.max(0))
+                order = np.argsort(nearest, kind="stable")
+                k, begin = np.unique(nearest[order], return_index=True)
+                seen = far[order]
+                least, most = (f.reduceat(seen, begin).T for f in (np.minimum, np.maximum))
+                low[number][:, k] = np.minimum(low[number][:, k], least)
+                high[number][:, k] = np.maximum(high[number][:, k], most)
             next_ = children[nearest]
             at[own] = np.where(next_ >= 0, next_, -1)
             leaf[own] = np.where(next_ < 0, -1 - next_, 0)
